@@ -178,7 +178,11 @@ def member_counts(articles: DataFrame, issue: str = "issue_id") -> DataFrame:
 
 
 def similar(a: str, b: str, threshold: float = 0.93) -> bool:
-    return difflib.SequenceMatcher(None, a, b).ratio() >= threshold
+    """Character similarity; the two cheap upper bounds settle most pairs."""
+    if a == b:
+        return True
+    m = difflib.SequenceMatcher(None, a, b)
+    return m.real_quick_ratio() >= threshold and m.quick_ratio() >= threshold and m.ratio() >= threshold
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
