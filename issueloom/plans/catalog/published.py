@@ -6,12 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ...operators import curated as N, readmodel as R
 from ...operators.dedup import distinct_sources
-from ...sources.landing import keep_seen
 from . import query, table
 from .views import ANCHORS, ARTICLES, ISSUES, SUMMARIES, TIMELINE, anchors, articles, issues, summaries, timeline
 
-FMT = "regexp_replace(printf('%.2f', {v}), '\\.?0+$', '')"
-
 NEWEST = f"""
 {ANCHORS},
 newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY issue_id ORDER BY observed_at DESC, seq DESC) AS rn FROM anchors
@@ -103,8 +100,12 @@ gate AS (SELECT a.id, CASE WHEN n.issue_id IS NULL OR trust <> 'official' OR NOT
 """
 
 
-@query("consistency_gate", (GATE.replace("year(l_shipdate) || '-' || quarter(l_shipdate) || 'Q' AS period", "strftime(max(l_shipdate) OVER (), '%Y') AS period")
-       .replace("strftime(max(m), '%Y-%m') AS t", "(SELECT strftime(max(l_shipdate), '%Y') FROM lineitem) AS t")).join(["WITH ", " SELECT id, shown FROM gate"]))
+LAST_YEAR = "(SELECT strftime(max(l_shipdate), '%Y') FROM lineitem)"
+YEARLY_GATE = GATE.replace("year(l_shipdate) || '-' || quarter(l_shipdate) || 'Q' AS period", f"{LAST_YEAR} AS period").replace(
+    "strftime(max(m), '%Y-%m') AS t", f"{LAST_YEAR} AS t")
+
+
+@query("consistency_gate", f"WITH {YEARLY_GATE} SELECT id, shown FROM gate")
 def consistency_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Charts compared with the newest anchor of the issue, both moved to the last year of the data."""
     year = table(spark, sf, "lineitem").agg(F.date_format(F.max("l_shipdate"), "yyyy")).scalar()
@@ -117,7 +118,7 @@ def consistency_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("event_time", f"""
 WITH {ISSUES}, {TIMELINE}
-SELECT id, strftime(coalesce(max(at), any_value(created_at)), '%Y-%m-%d %H:%M:%S') AS event_at FROM issues LEFT JOIN timeline ON issue_id = id GROUP BY id""")
+SELECT id, strftime(coalesce(max(seen), any_value(created_at)), '%Y-%m-%d %H:%M:%S') AS event_at FROM issues LEFT JOIN timeline ON issue_id = id GROUP BY id""")
 def event_time(spark: SparkSession, sf: str) -> DataFrame:
     rows = R.event_times(issues(spark, sf), timeline(spark, sf))
     return rows.select("id", F.date_format("event_at", "yyyy-MM-dd HH:mm:ss").alias("event_at"))
@@ -125,14 +126,14 @@ def event_time(spark: SparkSession, sf: str) -> DataFrame:
 
 CARD = f"""
 {GATE}, {TIMELINE}, {SUMMARIES},
-at AS (SELECT issue_id, max(at) AS at FROM timeline GROUP BY 1),
+tl AS (SELECT issue_id, max(seen) AS seen FROM timeline GROUP BY 1),
 shown AS (SELECT id, replace(canonical_title, '中', '중국') AS fb FROM (SELECT id, replace(canonical_title, '中國', '중국') AS canonical_title FROM issues)),
 spk AS (SELECT series_id, string_agg(CAST(CAST(round(v / 10000, 2) AS DECIMAL(9, 2)) AS VARCHAR), ',' ORDER BY m) AS spark
   FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY m DESC) AS rn FROM pts) WHERE rn <= 8 GROUP BY 1),
 card AS (SELECT i.id, CASE WHEN coalesce(s.title, '') <> '' THEN s.title ELSE fb END AS title, CASE WHEN coalesce(s.one_liner, '') <> '' THEN s.one_liner ELSE fb END AS one_liner,
-  s.why_now, fb AS raw_title, i.category, i.status, i.origin, seen_sources AS sources, importance, strftime(coalesce(at.at, i.created_at), '%Y-%m-%d') AS event_at,
+  s.why_now, fb AS raw_title, i.category, i.status, i.origin, seen_sources AS sources, importance, strftime(coalesce(tl.seen, i.created_at), '%Y-%m-%d') AS event_at,
   coalesce(g.shown, false) AS has_visual, CASE WHEN g.shown THEN spark END AS spark
- FROM issues i JOIN shown USING (id) LEFT JOIN summaries s ON s.issue_id = i.id LEFT JOIN at ON at.issue_id = i.id LEFT JOIN gate g ON g.id = i.id
+ FROM issues i JOIN shown USING (id) LEFT JOIN summaries s ON s.issue_id = i.id LEFT JOIN tl ON tl.issue_id = i.id LEFT JOIN gate g ON g.id = i.id
  LEFT JOIN asked k ON k.id = i.id LEFT JOIN spk USING (series_id))
 """
 
@@ -156,10 +157,10 @@ def card(spark: SparkSession, sf: str) -> DataFrame:
 
 DETAIL = f"""
 {ISSUES}, {ANCHORS}, {ARTICLES}, {TIMELINE},
-t40 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY issue_id ORDER BY at DESC, seq DESC) AS rn FROM timeline) WHERE rn <= 40),
+t40 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY issue_id ORDER BY seen DESC, seq DESC) AS rn FROM timeline) WHERE rn <= 40),
 t AS (SELECT issue_id, string_agg(seq, ',' ORDER BY rn) AS timeline FROM (SELECT *, row_number() OVER (PARTITION BY issue_id ORDER BY rn) AS k FROM t40 WHERE source <> '2-HIGH') WHERE k <= 30 GROUP BY 1),
 h20 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY issue_id ORDER BY published_at DESC, aid) AS rn FROM articles WHERE issue_id IS NOT NULL AND NOT is_dup) WHERE rn <= 20),
-h AS (SELECT issue_id, string_agg(aid, ',' ORDER BY rn) AS headlines FROM (SELECT *, row_number() OVER (PARTITION BY issue_id ORDER BY rn) AS k FROM h20 WHERE title NOT LIKE '日本%') WHERE k <= 10 GROUP BY 1),
+h AS (SELECT issue_id, string_agg(aid, ',' ORDER BY rn) AS headlines FROM (SELECT *, row_number() OVER (PARTITION BY issue_id ORDER BY rn) AS k FROM h20 WHERE title NOT LIKE 'これ%') WHERE k <= 10 GROUP BY 1),
 a1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY issue_id, entity, metric, period ORDER BY seq DESC) AS rn FROM anchors) WHERE rn = 1),
 a AS (SELECT issue_id, string_agg(entity || metric || period, ',' ORDER BY k) AS anchors FROM
   (SELECT *, row_number() OVER (PARTITION BY issue_id ORDER BY observed_at DESC, seq DESC) AS k FROM a1) WHERE k <= 12 GROUP BY 1)
@@ -211,9 +212,9 @@ RULES = [
 
 @query("rule_latest", f"""
 WITH {ISSUES}, {SUMMARIES}, {TIMELINE},
-at AS (SELECT issue_id, max(at) AS at FROM timeline GROUP BY 1),
-l AS (SELECT i.*, lower(canonical_title || ' ' || coalesce(s.title, '')) AS hay, coalesce(at.at, i.created_at) AS event_at FROM issues i
-  LEFT JOIN summaries s ON s.issue_id = i.id LEFT JOIN at ON at.issue_id = i.id WHERE status IN ('active', 'stale')),
+tl AS (SELECT issue_id, max(seen) AS seen FROM timeline GROUP BY 1),
+l AS (SELECT i.*, lower(canonical_title || ' ' || coalesce(s.title, '')) AS hay, coalesce(tl.seen, i.created_at) AS event_at FROM issues i
+  LEFT JOIN summaries s ON s.issue_id = i.id LEFT JOIN tl ON tl.issue_id = i.id WHERE status IN ('active', 'stale')),
 m AS (SELECT 'fx' AS rule_id, * FROM l WHERE category = 'FX' AND (contains(hay, 'customer#00000001') OR contains(hay, '요약'))
   UNION ALL SELECT 'keys', * FROM l WHERE list_has_any(keys, ['N3', 'N9'])
   UNION ALL SELECT 'both', * FROM l WHERE category IN ('RATE', 'MARKET') AND list_has_any(keys, ['N2'])

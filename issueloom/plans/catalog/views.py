@@ -93,7 +93,7 @@ articles AS (
   SELECT o_orderkey AS aid, CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderpriority <> '5-LOW' THEN 'i' || o_custkey END AS issue_id,
     o_orderstatus || substr(o_orderpriority, 1, 1) AS source,
     CASE WHEN o_orderpriority = '1-URGENT' THEN 'official' ELSE 'wire' END AS tier, 'http://a/' || o_orderkey AS url,
-    CASE WHEN o_orderpriority = '3-MEDIUM' THEN '日本語の見出し' ELSE '美 order ' END || o_orderkey AS title,
+    CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'これは見出し' ELSE '美 order ' END || o_orderkey AS title,
     CASE WHEN o_totalprice < 200000 THEN 'lead ' || o_orderkey ELSE '' END AS lead, o_orderdate AS published_at,
     CASE WHEN o_orderstatus = 'O' THEN 'ko' ELSE 'en' END AS lang, o_totalprice > 400000 AS is_dup,
     CAST(CASE WHEN o_totalprice < 50000 THEN 1 ELSE 0 END AS INTEGER) AS hold_count, o_orderdate + INTERVAL 2 HOUR AS collected_at
@@ -109,7 +109,7 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
         F.when(p != "5-LOW", F.concat(F.lit("i"), F.col("o_custkey").cast("string"))).alias("issue_id"),
         F.concat("o_orderstatus", F.substring(p, 1, 1)).alias("source"),
         F.when(p == "1-URGENT", "official").otherwise("wire").alias("tier"), F.concat(F.lit("http://a/"), key).alias("url"),
-        F.concat(F.when(p == "3-MEDIUM", "日本語の見出し").otherwise("美 order "), key).alias("title"),
+        F.concat(F.when(p == "3-MEDIUM", "これは見出し").otherwise("美 order "), key).alias("title"),
         F.when(F.col("o_totalprice") < 200000, F.concat(F.lit("lead "), key)).otherwise("").alias("lead"),
         F.col("o_orderdate").cast("timestamp").alias("published_at"), F.when(F.col("o_orderstatus") == "O", "ko").otherwise("en").alias("lang"),
         (F.col("o_totalprice") > 400000).alias("is_dup"), F.when(F.col("o_totalprice") < 50000, 1).otherwise(0).alias("hold_count"),
@@ -120,8 +120,8 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 TIMELINE = """
 timeline AS (
   SELECT 'i' || o_custkey AS issue_id, CASE WHEN o_orderstatus = 'F' THEN 'official' ELSE 'headline' END AS kind,
-    CASE WHEN o_orderpriority = '2-HIGH' THEN '中文標題新聞' ELSE '中 entry ' END || o_orderkey AS title, o_orderpriority AS source,
-    'http://t/' || o_orderkey AS url, o_orderdate AS at, o_orderkey AS seq FROM orders WHERE o_totalprice < 300000)
+    CASE WHEN o_orderpriority = '2-HIGH' THEN '外國標題新聞' ELSE '中 entry ' END || o_orderkey AS title, o_orderpriority AS source,
+    'http://t/' || o_orderkey AS url, o_orderdate AS seen, o_orderkey AS seq FROM orders WHERE o_totalprice < 300000)
 """
 
 
@@ -130,7 +130,7 @@ def timeline(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").filter("o_totalprice < 300000").select(
         F.concat(F.lit("i"), F.col("o_custkey").cast("string")).alias("issue_id"),
         F.when(F.col("o_orderstatus") == "F", "official").otherwise("headline").alias("kind"),
-        F.concat(F.when(F.col("o_orderpriority") == "2-HIGH", "中文標題新聞").otherwise("中 entry "), key).alias("title"),
+        F.concat(F.when(F.col("o_orderpriority") == "2-HIGH", "外國標題新聞").otherwise("中 entry "), key).alias("title"),
         F.col("o_orderpriority").alias("source"), F.concat(F.lit("http://t/"), key).alias("url"),
         F.col("o_orderdate").cast("timestamp").alias("at"), F.col("o_orderkey").alias("seq"),
     )
