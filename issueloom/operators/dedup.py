@@ -76,21 +76,6 @@ def band_rows(groups: DataFrame, value: str, k: int, blocks: int, hot: DataFrame
 BAND_KEYS = ["band", "val", "sub", "subval"]
 
 
-def near_pairs(df: DataFrame, id_col: str, hash_col: str, k: int = 3, blocks: int = 5) -> DataFrame:
-    """Distinct hash values at distance 1..k from each other, with the number of rows of each.
-
-    Rows with equal hashes are one entry, so copies never produce pairs.
-    """
-    values = df.filter(F.col(hash_col).isNotNull()).groupBy(F.col(hash_col).alias("h")).agg(
-        F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("n")
-    )
-    rows = band_rows(values, "h", k, blocks, hot_bands(values, "h", k, blocks))
-    left = rows.select(*BAND_KEYS, F.col("h").alias("ha"), F.col("first_id").alias("a"), F.col("n").alias("n_a"))
-    right = rows.select(*BAND_KEYS, F.col("h").alias("hb"), F.col("first_id").alias("b"), F.col("n").alias("n_b"))
-    pairs = left.join(right, BAND_KEYS).filter((F.col("a") < F.col("b")) & (hamming("ha", "hb") <= k))
-    return pairs.select("a", "b", "n_a", "n_b", hamming("ha", "hb").alias("distance")).distinct()
-
-
 def mark_near_duplicates(
     df: DataFrame,
     hash_col: str,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ...functions.simhash import simhash64
+from ...functions.simhash import hamming, simhash64
 from ...operators import dedup as D
 from ...session import cut
 from . import query, table
@@ -46,14 +46,14 @@ def simhash(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", simhash64("text").alias("simhash"))
 
 
-@query("near_dup_pairs", f"""
-WITH {SIMHASH_SQL},
-g AS (SELECT simhash, min(doc_id) AS a, count(*) AS n FROM hashes GROUP BY simhash)
-SELECT x.a, y.a AS b, CAST(x.n AS BIGINT) AS n_a, CAST(y.n AS BIGINT) AS n_b,
-       CAST(bit_count(xor(x.simhash, y.simhash)) AS INTEGER) AS distance
-FROM g x JOIN g y ON x.a < y.a AND bit_count(xor(x.simhash, y.simhash)) <= 3""")
-def near_dup_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return D.near_pairs(hashed(spark, sf), "doc_id", "simhash")
+@query("hamming_neighbours", f"""
+WITH {SIMHASH_SQL}
+SELECT a.doc_id, CAST(bit_count(xor(a.simhash, b.simhash)) AS INTEGER) AS distance FROM hashes a JOIN hashes b ON b.doc_id = a.doc_id + 1""")
+def hamming_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """Distance between each document and the next."""
+    h = hashed(spark, sf).select("doc_id", "simhash")
+    after = h.select((F.col("doc_id") - 1).alias("doc_id"), F.col("simhash").alias("other"))
+    return h.join(after, "doc_id").select("doc_id", hamming("simhash", "other").alias("distance"))
 
 
 @query("near_dup_marked", f"""

@@ -137,7 +137,7 @@ def review_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("numeric_grounding", r"""
-WITH c AS (SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS facts FROM conversations),
+WITH c AS (SELECT a.conv_id, a.turn, a.text, b.text AS facts FROM conversations a LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1),
 n AS (SELECT conv_id, turn, list_distinct(list_transform(regexp_extract_all(text, '-?\d[\d,]*\.?\d*'), lambda m: round(CAST(replace(m, ',', '') AS DOUBLE), 6))) AS o,
    list_distinct(list_transform(regexp_extract_all(coalesce(facts, ''), '-?\d[\d,]*\.?\d*'), lambda m: round(CAST(replace(m, ',', '') AS DOUBLE), 6))) AS f FROM c),
 x AS (SELECT conv_id, turn, list_filter(o, lambda v: NOT list_contains(f, v) AND NOT list_contains(list_transform(f, lambda y: abs(y)), v)
@@ -146,12 +146,10 @@ x AS (SELECT conv_id, turn, list_filter(o, lambda v: NOT list_contains(f, v) AND
 SELECT conv_id, turn, CAST(len(extra) AS INTEGER) AS n_extra, len(extra) = 0 AS grounded FROM x""")
 def numeric_grounding(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers of a turn that the turn before it does not explain."""
-    from pyspark.sql import Window as W
-
     c = table(spark, sf, "conversations")
-    facts = F.lag("text").over(W.partitionBy("conv_id").orderBy("turn"))
+    before = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("facts"))
     none = F.array().cast("array<struct<value:double,prev:double>>")
-    rows = c.withColumn("facts", F.coalesce(facts, F.lit(""))).withColumn("none", none)
+    rows = c.join(before, ["conv_id", "turn"], "left").withColumn("facts", F.coalesce("facts", F.lit(""))).withColumn("none", none)
     extra = Y.ungrounded("text", Y.allowed_numbers(F.col("facts"), F.col("none")))
     return rows.withColumn("extra", extra).select(
         "conv_id", "turn", F.size("extra").alias("n_extra"), (F.size("extra") == 0).alias("grounded"))

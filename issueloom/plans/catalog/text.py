@@ -249,29 +249,19 @@ def glossary_match(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.array_join(terms, "|").alias("terms")).filter("terms <> ''")
 
 
-@query("glossary_union", """
-WITH c AS (SELECT conv_id, turn, split_part(text, ' ', 1) AS w1, split_part(text, ' ', 2) AS w2 FROM conversations),
-raw AS (
-  SELECT conv_id, 0 AS gen, turn * 10 AS pos, w1 AS term FROM c WHERE turn <= 2
-  UNION ALL SELECT conv_id, 1, turn * 10, w1 FROM c UNION ALL SELECT conv_id, 1, turn * 10 + 1, w2 FROM c),
-named AS (SELECT *, lower(trim(term)) AS k, row_number() OVER (PARTITION BY conv_id, lower(trim(term)) ORDER BY gen, pos) AS rn
-          FROM raw WHERE gen = 0 OR trim(term) <> '')
-SELECT conv_id, string_agg(term, '|' ORDER BY gen, pos) AS terms, CAST(count(*) AS BIGINT) AS n
-FROM named WHERE rn = 1 GROUP BY conv_id""")
+@query("glossary_union", r"""
+WITH c AS (SELECT conv_id, turn, string_split_regex(text, '\s+') AS w FROM conversations),
+n AS (SELECT conv_id, turn, i, w[i] AS term, lower(trim(w[i])) AS k, i <= 2 AS static FROM c, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i)),
+f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn, k ORDER BY i) AS rn FROM n WHERE static OR trim(term) <> '')
+SELECT conv_id, turn, string_agg(term, '|' ORDER BY i) AS terms, CAST(count(*) AS BIGINT) AS n FROM f WHERE rn = 1 GROUP BY ALL""")
 def glossary_union(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "conversations")
-    word = lambda n: F.split_part("text", F.lit(" "), F.lit(n))
+    """The first two words of a turn as reviewed terms, all later ones as generated terms."""
     entry = lambda w: F.struct(w.alias("term"), F.lit("").alias("easy"), F.lit("").alias("example"))
-    # the terms of a conversation, its list of turns being the unit of the text
-    turns = c.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", word(1).alias("w1"), word(2).alias("w2")))).alias("t")
-    )
-    static = F.transform(F.filter("t", lambda x: x["turn"] <= 2), lambda x: entry(x["w1"]))
-    generated = F.flatten(F.transform("t", lambda x: F.array(entry(x["w1"]), entry(x["w2"]))))
-    u = turns.select("conv_id", G.union_terms(static, generated).alias("u"))
-    return u.select(
-        "conv_id", F.array_join(F.transform("u", lambda g: g["term"]), "|").alias("terms"), F.size("u").cast("long").alias("n")
-    )
+    words = F.split("text", r"\s+")
+    static = F.transform(F.slice(words, 1, 2), entry)
+    generated = F.transform(F.filter(words, lambda w, i: i >= 2), entry)
+    u = table(spark, sf, "conversations").select("conv_id", "turn", G.union_terms(static, generated).alias("u"))
+    return u.select("conv_id", "turn", F.array_join(F.transform("u", lambda g: g["term"]), "|").alias("terms"), F.size("u").cast("long").alias("n"))
 
 
 @query("glossary_lint", r"""

@@ -67,21 +67,16 @@ def assign_best_ungated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("entity_gate", f"""
-WITH {SIDES_SQL} SELECT iid, CAST(count(*) FILTER (gate) AS BIGINT) AS passing, CAST(count(*) AS BIGINT) AS articles
-FROM (SELECT iid, gate, aid FROM sims WHERE sim >= 0.2) GROUP BY iid""")
+WITH {SIDES_SQL} SELECT aid, iid AS nearest, gate AS passes FROM (
+  SELECT *, row_number() OVER (PARTITION BY aid ORDER BY sim DESC, iid) AS rn FROM sims) WHERE rn = 1""")
 def entity_gate(spark: SparkSession, sf: str) -> DataFrame:
-    """How many of the similar articles of an issue pass its entity gate."""
+    """Whether the nearest issue of an article would pass its entity gate."""
     articles, issues = sides(spark, sf)
-    everyone = F.array(F.lit(S.ANY_GROUP)).alias("grp")
-    near = S.matches(
-        articles.select(F.col("aid").alias("pid"), "vec", everyone),
-        issues.select(F.col("iid").alias("tid"), "vec", everyone, F.col("iid").alias("tord")), 0.2, exclude_self=False,
-    )
-    a = articles.select(F.col("aid").alias("pid"), F.col("keys").alias("a_keys"))
-    i = issues.select(F.col("iid").alias("tid"), F.col("keys").alias("i_keys"), "official")
-    rows = near.join(a, "pid").join(i, "tid")
+    near = C.assign(articles, issues, LOW).select("aid", F.col("last_sim_issue").alias("iid"))
+    rows = near.join(articles.select("aid", F.col("keys").alias("a_keys")), "aid").join(
+        issues.select("iid", F.col("keys").alias("i_keys"), "official"), "iid")
     gate = C.entity_gate(F.col("a_keys"), F.col("i_keys"), F.col("official"))
-    return rows.groupBy(F.col("tid").alias("iid")).agg(F.count_if(gate).alias("passing"), F.count(F.lit(1)).alias("articles"))
+    return rows.select("aid", F.col("iid").alias("nearest"), gate.alias("passes"))
 
 
 def _pool(spark, sf):
@@ -90,15 +85,15 @@ def _pool(spark, sf):
     return e.select(F.col("vec_id").alias("aid"), F.col("embedding").alias("vec"), keys.alias("keys"))
 
 
-@query("seed_edges", """
-SELECT a.vec_id AS a, b.vec_id AS b, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS sim
-FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
-WHERE round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) >= 0.35""")
-def seed_edges(spark: SparkSession, sf: str) -> DataFrame:
+@query("seed_neighbours", """
+SELECT a.vec_id AS aid, CAST(count(*) AS BIGINT) AS n FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+WHERE round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) >= 0.3 GROUP BY a.vec_id""")
+def seed_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """How many neighbours each article would scan while seeding."""
     pool = _pool(spark, sf).withColumn("grp", F.array(F.lit(S.ANY_GROUP)))
     p = pool.select(F.col("aid").alias("pid"), "vec", "grp")
     t = pool.select(F.col("aid").alias("tid"), "vec", "grp", F.col("aid").alias("tord"))
-    return S.matches(p, t, 0.35).select(F.col("pid").alias("a"), F.col("tid").alias("b"), F.round("sim", 6).alias("sim"))
+    return S.match_counts(p, t, 0.3).select(F.col("pid").alias("aid"), "n")
 
 
 @query("seed_partner", """
@@ -132,15 +127,20 @@ def seed_issues(spark: SparkSession, sf: str) -> DataFrame:
     return made.select("id", "canonical_title", F.array_join("keys", "|").alias("keys"), F.round("sim", 6).alias("sim"))
 
 
-@query("merge_edges", """
-SELECT a.vec_id AS a, b.vec_id AS b, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS sim
-FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND a.label = b.label AND a.label <> 0
-WHERE round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) >= 0.25""")
-def merge_edges(spark: SparkSession, sf: str) -> DataFrame:
-    pool = _pool(spark, sf).withColumn("grp", S.gate_groups("keys", None, False))
-    p = pool.select(F.col("aid").alias("pid"), "vec", "grp")
-    t = pool.select(F.col("aid").alias("tid"), "vec", "grp", F.col("aid").alias("tord"))
-    return S.matches(p, t, 0.25).filter("pid < tid").select(F.col("pid").alias("a"), F.col("tid").alias("b"), F.round("sim", 6).alias("sim"))
+@query("merge_candidates", """
+WITH m AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, least(30, 1 + n_chars // 400) AS members FROM embeddings JOIN documents ON doc_id = vec_id),
+c AS (SELECT a.vec_id AS iid, b.vec_id AS other FROM m a JOIN m b ON a.vec_id <> b.vec_id AND a.label = b.label AND a.label <> 0
+      AND a.members + b.members <= 40 WHERE round(list_dot_product(a.v, b.v), 9) >= 0.25)
+SELECT iid, min(other) AS first_partner FROM c GROUP BY iid""")
+def merge_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """The first issue each one could merge with: similar, sharing an entity, small enough together."""
+    issues = _merge_input(spark, sf)
+    room = (F.lit(40) - F.col("members")).alias("room")
+    near = S.first_match(
+        issues.select(F.col("iid").alias("pid"), "vec", F.col("keys").alias("grp"), room),
+        issues.select(F.col("iid").alias("tid"), "vec", F.col("keys").alias("grp"), F.col("iid").alias("tord"), F.col("members").alias("weight")),
+        0.25)
+    return near.select(F.col("pid").alias("iid"), F.col("tid").alias("first_partner"))
 
 
 def _merge_input(spark, sf):

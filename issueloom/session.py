@@ -62,3 +62,9 @@ def cut(df: DataFrame) -> DataFrame:
     path = fresh_path(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a scan of few splits over all cores before heavy per-row work; a scan of many splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
