@@ -222,18 +222,24 @@ def matches_alias(text_lower: Column, alias: str) -> Column:
     return text_lower.contains(a)
 
 
+def bind(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def entity_keys(text, aliases: list[tuple[str, str]]) -> Column:
     """Dictionary keys found in the text, longest alias first, each key once.
 
     The dictionary is configuration of a few hundred rows, so it is part of the expression: one narrow
     pass, no join and no shuffle, whatever the size of the article table.
     """
-    t = F.lower(or_empty(text))
     ordered = sorted(((str(a), k) for a, k in aliases), key=lambda pair: -len(pair[0]))
     if not ordered:
         return F.array().cast("array<string>")
-    hits = [F.when(matches_alias(t, a), F.lit(k)) for a, k in ordered]
-    return F.array_distinct(F.array_compact(F.array(*hits)))
+    found = bind(
+        F.lower(or_empty(text)), lambda t: F.array(*[F.when(matches_alias(t, a), F.lit(k)) for a, k in ordered])
+    )
+    return F.array_distinct(F.array_compact(found))
 
 
 def surface_pattern(surfaces: list[str]) -> str:

@@ -85,10 +85,14 @@ def mark_near_duplicates(
     window_h: int = 48,
     blocks: int = 5,
     salts: int = 32,
+    hot_limit: int = 2_000,
 ) -> DataFrame:
     """Add `is_dup`: some row before this one in `order_col` has a hash within k bits, and the two times are at
     most window_h apart or one of them is missing. `order_col` must be unique.
 
+    `blocks` trades copies for candidates: with 5 blocks a hash is sent 10 times under 25-bit keys; 6 blocks send
+    it 20 times under 32-bit keys, which pays from about a billion distinct hashes per slice on.
+
     1. Rows collapse to groups (hash, time slice of one window). Only the first row of a group can be free of a
        duplicate inside its own group, all later ones are marked without any pair.
     2. The first rows look for earlier groups in the own and the neighbouring slices through band keys.
@@ -115,11 +119,12 @@ def mark_near_duplicates(
         F.array(F.col("slice") - 1, F.col("slice"), F.col("slice") + 1, F.lit(NO_TIME))
     )
     targets = groups.unionByName(anywhere)
-    hot = hot_bands(groups, "h", k, blocks)
+    hot = hot_bands(groups, "h", k, blocks, hot_limit)
     probes = band_rows(groups, "h", k, blocks, hot).withColumn("seek", F.explode(sought)).select(
         *BAND_KEYS, "seek", F.col("h").alias("ph"), F.col("o").alias("po"), F.col("t").alias("pt")
     )
-    held = band_rows(targets, "h", k, blocks, hot).select(
+    # the rows below are exploded, which size estimates do not see: they are merged, never broadcast
+    held = band_rows(targets, "h", k, blocks, hot).hint("merge").select(
         *BAND_KEYS, F.col("slice").alias("seek"), F.col("h").alias("th"), F.col("o").alias("to"), F.col("t").alias("tt")
     )
     keys = [probes[c] == held[c] for c in [*BAND_KEYS, "seek"]]
@@ -138,7 +143,7 @@ def mark_near_duplicates(
             "salt", F.pmod(F.xxhash64("o"), F.lit(salts)).cast("int")
         )
         late = (
-            spread.join(open_, ["h", "slice", "salt"])
+            spread.join(open_.hint("merge"), ["h", "slice", "salt"])
             .filter((F.col("o") < F.col("po")) & (F.abs(F.col("t") - F.col("pt")) <= seconds))
             .select(F.col("po").alias("o"))
             .distinct()

@@ -87,8 +87,9 @@ def spread_join(
 ) -> DataFrame:
     """Join a side with hot keys to a narrow side that is unique per key.
 
-    The narrow side is repeated once per salt, so a hot key of the big side runs in `salts` tasks.
+    The narrow side is repeated once per salt, so a hot key of the big side runs in `salts` tasks. Size estimates
+    do not see the repetition, so the join is a merge join, never a broadcast.
     """
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

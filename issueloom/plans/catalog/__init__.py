@@ -24,13 +24,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-# Tables of long texts: their per-row work is worth spreading when the file has few splits.
-TEXTS = {"documents", "pages", "conversations"}
+# Tables whose per-row work is worth spreading when the file has few splits.
+WIDE = {"documents", "pages", "conversations", "lineitem"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return widen(df) if name in TEXTS else df
+    return widen(df) if name in WIDE else df
 
 
 def load_all() -> None:

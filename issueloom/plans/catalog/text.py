@@ -177,10 +177,10 @@ hits AS (
   SELECT DISTINCT doc_id, key FROM documents, a
   WHERE CASE WHEN length(alias) <= 2 THEN regexp_matches(lower(text), '(^|[^0-9a-z])' || alias || '($|[^0-9a-z])')
              ELSE contains(lower(text), alias) END)
-SELECT doc_id, array_to_string(list_sort(list(key)), '|') AS keys FROM hits GROUP BY doc_id""")
+SELECT doc_id, coalesce(string_agg(key, '|' ORDER BY key), '') AS keys FROM documents LEFT JOIN hits USING (doc_id) GROUP BY doc_id""")
 def entity_tags(spark: SparkSession, sf: str) -> DataFrame:
     keys = F.array_sort(X.entity_keys("text", ALIASES))
-    return table(spark, sf, "documents").select("doc_id", F.array_join(keys, "|").alias("keys")).filter("keys <> ''")
+    return table(spark, sf, "documents").select("doc_id", F.array_join(keys, "|").alias("keys"))
 
 
 @query("feed_entries", r"""
@@ -243,10 +243,10 @@ WITH m AS (SELECT doc_id, regexp_extract_all(lower(text), '(ation|there|verer|ci
 t AS (SELECT doc_id, list_transform(s, lambda x: CASE x WHEN 'verer' THEN 'ver' WHEN 'eaux' THEN 'eau' ELSE x END) AS t FROM m),
 firsts AS (SELECT doc_id, u.term, min(u.pos) AS pos FROM
   (SELECT doc_id, unnest(list_transform(t, lambda x, i: {'term': x, 'pos': i})) AS u FROM t) GROUP BY doc_id, u.term)
-SELECT doc_id, string_agg(term, '|' ORDER BY pos) AS terms FROM firsts GROUP BY doc_id""")
+SELECT doc_id, coalesce(string_agg(term, '|' ORDER BY pos), '') AS terms FROM documents LEFT JOIN firsts USING (doc_id) GROUP BY doc_id""")
 def glossary_match(spark: SparkSession, sf: str) -> DataFrame:
     terms = X.glossary_terms("text", SURFACES)
-    return table(spark, sf, "documents").select("doc_id", F.array_join(terms, "|").alias("terms")).filter("terms <> ''")
+    return table(spark, sf, "documents").select("doc_id", F.array_join(terms, "|").alias("terms"))
 
 
 @query("glossary_union", r"""
