@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .ordered import top_n
+from .ordered import spread_join, top_n
 
 
 def around(events: DataFrame, articles: DataFrame, days: int = 3, per_event: int = 25) -> DataFrame:
@@ -23,9 +23,11 @@ def around(events: DataFrame, articles: DataFrame, days: int = 3, per_event: int
         )
     )
     wanted = events.select("topic", "date").distinct()
-    near = offered.join(wanted, ["topic", "date"], "left_semi")
+    near = spread_join(offered, wanted, ["topic", "date"], "left_semi", ["aid"])
     lists = top_n(near, ["topic", "date"], [F.col("published_at"), F.col("aid")], per_event, "rank")
-    return events.join(lists.select("topic", "date", "rank", "aid", "published_at"), ["topic", "date"])
+    return spread_join(
+        events, lists.select("topic", "date", "rank", "aid", "published_at"), ["topic", "date"], "inner", ["event_id"]
+    )
 
 
 def with_seed_articles(events: DataFrame, found: DataFrame, least: int = 2) -> DataFrame:

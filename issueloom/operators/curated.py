@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import glossary_terms, or_empty
 from ..settings import CATEGORY_ICONS, DEFAULT_ICON, EFFECT_DIRECTIONS, STAT_DIRECTIONS, TIER_BASE
-from .ordered import with_rank
+from .ordered import spread_join, with_rank
 from .readmodel import spark_values
 
 
@@ -20,7 +20,7 @@ def integrity_report(issues: DataFrame, topics: DataFrame, visuals: DataFrame, c
 
     def dangling(df: DataFrame, rule: str, item: str, ids: Column, known: DataFrame, key: str) -> DataFrame:
         wanted = df.select(F.col(item).alias("_item"), F.explode(ids).alias("_ref"))
-        missing = wanted.join(known.select(F.col(key).alias("_ref")), "_ref", "left_anti")
+        missing = spread_join(wanted, known.select(F.col(key).alias("_ref")).distinct(), ["_ref"], "left_anti", ["_item"])
         return row(missing, rule, "_item", F.col("_ref"))
 
     double = issues.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
@@ -30,7 +30,8 @@ def integrity_report(issues: DataFrame, topics: DataFrame, visuals: DataFrame, c
     links = topics.select("id", F.explode("timeline").alias("t")).select("id", F.col("t.issue_ids").alias("issue_ids"))
     parts = [
         row(double, "duplicate id", "id", F.col("n")),
-        row(issues.join(categories.select("category"), "category", "left_anti"), "unknown category", "id", F.col("category")),
+        row(spread_join(issues, categories.select("category").distinct(), ["category"], "left_anti", ["id"]),
+            "unknown category", "id", F.col("category")),
         row(issues.filter(~F.col("tier").isin(*TIER_BASE)), "unknown tier", "id", F.col("tier")),
         row(issues.filter(F.size("key_stats") != 2), "not two key stats", "id", F.size("key_stats")),
         row(stats, "unknown stat direction", "id", F.col("d")),
@@ -56,7 +57,7 @@ def resolved_visuals(items: DataFrame, visuals: DataFrame, key: str = "id") -> D
     wanted = items.select(key, F.posexplode("visual_ids").alias("pos", "visual_id"))
     # several series: the first one speaks for the chart
     series = F.when(F.size("series") > 0, F.col("series")).otherwise(F.get("series_multi", F.lit(0)))
-    found = wanted.join(visuals.withColumn("_s", series), "visual_id")
+    found = spread_join(wanted, visuals.withColumn("_s", series), ["visual_id"], "inner", [key])
     entry = F.struct("pos", "visual_id", "kind", F.col("_s").alias("series"))
     packed = found.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("visuals"))
     charts = F.filter("visuals", lambda v: F.coalesce(v["kind"], F.lit("chart")) == "chart")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.vectors import dot
 from .lifecycle import LIVE
 from .ordered import top_n
+from .summary import ordered_list
 
 
 def status_counts(issues: DataFrame) -> DataFrame:
@@ -53,6 +54,27 @@ def issue_listing(issues: DataFrame, now: Column, days: int = 7, limit: int = 50
     ).limit(limit)
 
 
+def issue_diagnostics(
+    issues: DataFrame, articles: DataFrame, anchors: DataFrame, timeline: DataFrame, summaries: DataFrame, reviews: DataFrame,
+    now: Column,
+) -> DataFrame:
+    """The listed issues with 50 members and their similarity, 20 anchors, 50 timeline rows, summary and review reason."""
+    listed = issue_listing(issues, now)
+    of_listed = lambda df: df.join(listed.select(F.col("id").alias("issue_id")), "issue_id", "left_semi")
+    centroids = listed.select(F.col("id").alias("iid"), "vec")
+    m = ordered_list(issue_members(of_listed(articles), centroids), "issue_id", "rn", F.struct("aid", "title", "is_dup", "sim_to_centroid"), "members")
+    a = top_n(of_listed(anchors), ["issue_id"], [F.col("observed_at").desc(), F.col("seq").desc()], 20)
+    a = ordered_list(a, "issue_id", "rn", F.struct("entity", "metric", "value", "unit", "prev", "period", "source", "trust"), "anchors")
+    t = top_n(of_listed(timeline), ["issue_id"], [F.col("at").desc(), F.col("seq").desc()], 50)
+    t = ordered_list(t, "issue_id", "rn", F.struct("kind", "title", "source", "url", "at"), "timeline")
+    s = summaries.select("issue_id", F.struct("model", "title", "one_liner", "fact_hash").alias("summary"))
+    r = reviews.select("issue_id", F.col("reason").alias("review"))
+    out = listed.drop("vec").withColumnRenamed("id", "issue_id")
+    for part in (m, a, t, s, r):
+        out = out.join(part, "issue_id", "left")
+    return out
+
+
 def newest_runs(log: DataFrame, n: int = 20) -> DataFrame:
     return log.orderBy(F.col("at").desc(), F.col("run_id").desc()).limit(n)
 

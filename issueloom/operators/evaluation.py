@@ -5,12 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.vectors import cosine
+from ..settings import Settings
+from .embed import text_vectors
 
 
 def pair_similarities(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("sim", cosine("vec_a", "vec_b"))
 
 
+def text_pairs(pairs: DataFrame, s: Settings, embed=None) -> DataFrame:
+    """Labelled text pairs (a, b, same) with the vectors of both sides."""
+    def side(name: str) -> DataFrame:
+        rows = pairs.select("pair", F.col(name).alias("title"), F.lit("").alias("lead"))
+        return text_vectors(rows, s, embed).select("pair", F.col("vec").alias(f"vec_{name}"))
+
+    return pairs.join(side("a"), "pair").join(side("b"), "pair")
+
+
+def evaluate(pairs: DataFrame, s: Settings, embed=None, low: float = 0.72, high: float = 0.90, step: float = 0.02) -> DataFrame:
+    """The sweep over labelled texts (pair, a, b, same)."""
+    return sweep(pair_similarities(text_pairs(pairs, s, embed)), low, high, step)
+
+
 def steps_of(low: float, high: float, step: float) -> list[float]:
     """low, low + step, ... up to high, the end included."""
     out, n = [], 0

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import display_number, hangul_share, hanja_to_hangul, is_foreign, or_empty
 from ..settings import AUXILIARY_METRIC, CATEGORY_ICONS, DEFAULT_ICON
 from .lifecycle import LIVE
-from .ordered import top_n
+from .ordered import spread_join, top_n
 from .summary import ordered_list
 
 SCHEMA_VERSION = 3
@@ -222,7 +222,8 @@ def live_refs(paragraphs: DataFrame, issues: DataFrame) -> DataFrame:
     ids = live.select(F.col("id").alias("_id")).distinct()
     anchors = live.filter(F.col("anchor_key").isNotNull()).groupBy("anchor_key").agg(F.min("id").alias("_by_anchor"))
     refs = paragraphs.select("topic", "pos", "text", F.posexplode("refs").alias("n", "r"))
-    refs = refs.withColumn("anchor_key", F.col("r.anchor_key")).join(anchors, "anchor_key", "left")
+    refs = refs.withColumn("anchor_key", F.col("r.anchor_key"))
+    refs = spread_join(refs, anchors, ["anchor_key"], "left", ["topic", "pos", "n"])
     refs = refs.withColumn("issue_id", F.coalesce("r.issue_id", "_by_anchor")).join(
         ids, F.col("issue_id") == F.col("_id"), "left_semi"
     )
@@ -243,3 +244,16 @@ def table_rows(columns, rows) -> Column:
 def orphaned(published: DataFrame, live: DataFrame, key: str = "id") -> DataFrame:
     """Published details whose issue is no longer live."""
     return published.join(live.select(key), key, "left_anti")
+
+
+def index_document(cards: DataFrame, now: Column, attribution: str, topics: DataFrame | None = None) -> DataFrame:
+    """One row: version, time, the published cards in rank order (at most the 200 of the feed) and the topics."""
+    order = F.struct(F.when(F.col("status") == "active", 0).otherwise(1).alias("s"), (-F.col("importance")).alias("i"),
+                     (-F.unix_micros("last_update")).alias("u"), F.col("id").alias("d"))
+    packed = F.array_sort(F.collect_list(F.struct(order.alias("o"), F.to_json(F.struct(*cards.columns)).alias("card"))))
+    listed = F.lit(None).cast("array<string>")
+    if topics is not None:
+        listed = topics.agg(F.collect_list(F.to_json(F.struct(*topics.columns)))).scalar()
+    return cards.agg(F.transform(packed, lambda x: x["card"]).alias("issues")).select(
+        F.lit(SCHEMA_VERSION).alias("schema_version"), now.alias("generated_at"), F.lit(attribution).alias("attribution"), "issues",
+        listed.alias("topics"))

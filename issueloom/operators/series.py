@@ -34,6 +34,67 @@ def latest_state(obs: DataFrame) -> DataFrame:
     return obs.groupBy("series_id").agg(last).select("series_id", F.col("s.ts").alias("ts"), F.col("s.value").alias("value"))
 
 
+ANCHOR = (
+    "struct<entity:string,metric:string,value:double,unit:string,prev:double,period:string,source:string,observed_at:timestamp>"
+)
+
+
+def _anchor(entity, metric: str, value: Column, unit: str, prev: Column, period: Column, source: str) -> Column:
+    return F.struct(
+        entity.alias("entity"), F.lit(metric).alias("metric"), value.cast("double").alias("value"), F.lit(unit).alias("unit"),
+        prev.cast("double").alias("prev"), period.alias("period"), F.lit(source).alias("source"),
+        F.lit(None).cast("timestamp").alias("observed_at"),
+    ).cast(ANCHOR)
+
+
+def rate_events(changes: DataFrame, korean: bool) -> DataFrame:
+    """Event documents of level changes (series_id, entity, ts, value, prev_value, delta_bp, delta_points).
+
+    One agency reports the signed change in basis points, the other the absolute change in points.
+    """
+    period, none = F.date_format("ts", "yyyy-MM"), F.lit(None).cast("double")
+    shown = F.format_string("%.2f", "value")
+    if korean:
+        entity, source, stem = F.lit("한국은행"), "ECOS", "ecos_"
+        title = F.concat(F.lit("한국은행 기준금리 "), F.when(F.col("value") < F.col("prev_value"), "인하").otherwise("인상"), F.lit(" ("), shown, F.lit("%)"))
+        change = _anchor(entity, AUXILIARY_METRIC, F.col("delta_points"), "%p", none, period, source)
+        line = F.concat(F.lit("한국은행 기준금리 "), shown, F.lit("% ("), period, F.lit(")"))
+        url = F.lit("https://ecos.bok.or.kr")
+    else:
+        entity, source, stem = F.col("entity"), "FRED", "fred_"
+        title = F.concat(F.lit("미 연준 기준금리 변동 ("), shown, F.lit("%)"))
+        change = _anchor(entity, AUXILIARY_METRIC, F.col("delta_bp"), "bp", none, period, source)
+        line = F.concat_ws(" ", F.lit("FRED"), "series_id", F.date_format("ts", "yyyy-MM-dd"), F.lit("="), F.col("value").cast("string"))
+        url = F.concat(F.lit("https://fred.stlouisfed.org/series/"), "series_id")
+    level = _anchor(entity, "기준금리", F.col("value"), "%", F.col("prev_value"), period, source)
+    return _documents(changes, stem, "RATE", F.col("entity"), period, title, F.array(level, change), line, source, url)
+
+
+def macro_events(periods: DataFrame, korean: bool) -> DataFrame:
+    """Event documents of newly published periods (series_id, entity, ts, value, prev_value)."""
+    period, none = F.date_format("ts", "yyyy-MM"), F.lit(None).cast("double")
+    if korean:
+        title = F.concat(F.lit("한국 소비자물가 "), period, F.lit(" 발표"))
+        anchor = _anchor(F.lit("KR"), "소비자물가지수", F.col("value"), "", F.col("prev_value"), period, "ECOS")
+        line = F.concat(F.lit("ECOS 소비자물가 "), F.date_format("ts", "yyyyMM"), F.lit(" 신규 관측"))
+        return _documents(periods, "ecos_", "MACRO", F.col("entity"), period, title, F.array(anchor), line, "ECOS", F.lit("https://ecos.bok.or.kr"))
+    title = F.concat(F.lit("미국 CPI "), period, F.lit(" 발표"))
+    anchor = _anchor(F.col("entity"), "CPI(YoY%)", F.col("value"), "%", none, period, "FRED")
+    line = F.concat_ws(" ", F.lit("FRED"), "series_id", F.date_format("ts", "yyyy-MM-dd"), F.lit("신규 관측"))
+    url = F.concat(F.lit("https://fred.stlouisfed.org/series/"), "series_id")
+    return _documents(periods, "fred_", "MACRO", F.col("entity"), period, title, F.array(anchor), line, "FRED", url)
+
+
+def _documents(rows, stem, category, entity, period, title, anchors, line, source, url) -> DataFrame:
+    """Columns of an event document; the key names series and day, the original date is kept."""
+    return rows.select(
+        F.concat(F.lit(stem), "series_id", F.lit("_"), F.date_format("ts", "yyyy-MM-dd")).alias("key"),
+        F.col("ts").alias("created_at"), F.lit(category).alias("category"), entity.alias("entity"), period.alias("period"),
+        title.alias("title"), anchors.alias("anchors"),
+        F.struct(F.lit("official").alias("kind"), line.alias("title"), F.lit(source).alias("source"), url.alias("url")).alias("timeline"),
+    )
+
+
 def month_end(obs: DataFrame) -> DataFrame:
     return obs.groupBy("series_id", F.date_trunc("month", "ts").alias("month")).agg(
         F.max_by("value", F.struct("ts", "tie")).alias("value")

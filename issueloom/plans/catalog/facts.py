@@ -318,3 +318,29 @@ def replay_window(spark: SparkSession, sf: str) -> DataFrame:
     """A longer lookback replays older rows through the same path."""
     e = table(spark, sf, "events").withColumn("collected_at", F.col("ts").cast("timestamp"))
     return O.replay_window(e, F.lit("2024-01-31").cast("timestamp"), 240).select("event_id")
+
+
+@query("filing_anchors", """
+WITH c AS (SELECT l_suppkey AS cik, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS kind, l_discount >= 0.05 AS unframed,
+  strftime(l_shipdate, '%Y-%m-%d') AS "end", l_extendedprice * 1000 AS val, (l_orderkey * 10 + l_linenumber) * 1000000000 + l_partkey * 10000 + l_suppkey AS seq
+  FROM lineitem WHERE l_quantity >= 10),
+t AS (SELECT *, CASE WHEN kind = 2 THEN 1 ELSE 0 END AS o, CASE WHEN kind = 1 THEN 2 ELSE 1 END AS tag_rank FROM c),
+b AS (SELECT cik, o, min((tag_rank, CAST(unframed AS INTEGER))) AS best FROM t GROUP BY ALL),
+r AS (SELECT t.*, row_number() OVER (PARTITION BY cik, o ORDER BY "end" DESC, seq) AS rn FROM t JOIN b USING (cik, o)
+      WHERE (tag_rank, CAST(unframed AS INTEGER)) = best),
+f AS (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY o, rn) AS k FROM r WHERE rn <= 4),
+p AS (SELECT cik, string_agg(CASE o WHEN 0 THEN '매출' ELSE '영업이익' END || '=' || CAST(CAST(round(val / 1e6, 1) AS DECIMAL(18, 1)) AS VARCHAR) || '@' || "end", ',' ORDER BY k) AS anchors FROM f WHERE k <= 4 GROUP BY cik)
+SELECT s_name AS key, coalesce(anchors, '') AS anchors FROM supplier LEFT JOIN p ON cik = s_suppkey""")
+def filing_anchors(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers as filers; the facts of the whole lineitem table give each its latest quarters."""
+    flag = F.col("l_returnflag")
+    tag = F.when(flag == "A", "Revenues").when(flag == "N", "SalesRevenueNet").otherwise("OperatingIncomeLoss")
+    concepts = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("cik"), tag.alias("tag"), F.when(F.col("l_quantity") >= 10, "10-Q").otherwise("8-K").alias("form"),
+        F.when(F.col("l_discount") < 0.05, "CY").alias("frame"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("end"),
+        (F.col("l_extendedprice") * 1000).alias("val"),
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000000 + F.col("l_partkey") * 10000 + F.col("l_suppkey")).alias("seq"))
+    filers = table(spark, sf, "supplier").select(F.col("s_name").alias("key"), F.col("s_suppkey").cast("string").alias("cik"))
+    rows = payloads.filing_anchors(filers, concepts)
+    shown = F.transform("anchors", lambda a: F.concat(a["metric"], F.lit("="), a["value"].cast("decimal(18,1)").cast("string"), F.lit("@"), a["period"]))
+    return rows.select("key", F.array_join(shown, ",").alias("anchors"))

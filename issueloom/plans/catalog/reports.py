@@ -8,7 +8,9 @@ from ...operators import diagnostics as D
 from ...operators.lifecycle import calls_on
 from ...settings import Settings
 from . import query, table
-from .views import ARTICLES, ISSUES, NOW, articles, issues, now
+from .views import (
+    ANCHORS, ARTICLES, ISSUES, NOW, SUMMARIES, TIMELINE, anchors, articles, issues, now, summaries, timeline,
+)
 
 
 @query("status_counts", f"WITH {ISSUES} SELECT status, CAST(count(*) AS BIGINT) AS n FROM issues GROUP BY status")
@@ -72,3 +74,26 @@ def run_metadata(spark: SparkSession, sf: str) -> DataFrame:
     row = D.run_metadata(issues(spark, sf), articles(spark, sf), calls, reviews, {"tau_join": Settings().tau_join})
     entries = F.transform(F.map_entries("issue_counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return row.select("article_counts.*", F.array_join(entries, ",").alias("issue_counts"), "calls_today", "review_queue", "thresholds.tau_join")
+
+
+@query("issue_diagnostics", f"""
+WITH {ISSUES}, {ARTICLES}, {ANCHORS}, {TIMELINE}, {SUMMARIES},
+l AS (SELECT * FROM issues WHERE status IN ('candidate', 'active', 'stale') OR (status = 'archived' AND last_update >= TIMESTAMP '{NOW}' - INTERVAL 7 DAY)
+      ORDER BY importance DESC, last_update DESC, id LIMIT 500),
+m AS (SELECT issue_id, least(50, count(*)) AS n, arg_max(aid, (published_at, -aid)) AS newest FROM articles WHERE issue_id IS NOT NULL GROUP BY 1),
+a AS (SELECT issue_id, least(20, count(*)) AS n FROM anchors GROUP BY 1),
+t AS (SELECT issue_id, least(50, count(*)) AS n, arg_max(url, (seen, seq)) AS newest FROM timeline GROUP BY 1)
+SELECT l.id AS issue_id, status, CAST(coalesce(m.n, 0) AS INTEGER) AS members, m.newest AS newest_member, CAST(coalesce(a.n, 0) AS INTEGER) AS anchors,
+  CAST(coalesce(t.n, 0) AS INTEGER) AS timeline, t.newest AS newest_entry, s.model, iid IN (SELECT conv_id FROM conversations) AS in_review
+FROM l LEFT JOIN m ON m.issue_id = id LEFT JOIN a ON a.issue_id = id LEFT JOIN t ON t.issue_id = id LEFT JOIN summaries s ON s.issue_id = id""")
+def issue_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
+    none = F.lit(None).cast("array<float>").alias("vec")
+    reviews = table(spark, sf, "conversations").select(
+        F.concat(F.lit("i"), F.col("conv_id").cast("string")).alias("issue_id"), F.lit("why").alias("reason")).distinct()
+    rows = D.issue_diagnostics(
+        issues(spark, sf).select("*", none), articles(spark, sf).select("*", none), anchors(spark, sf), timeline(spark, sf),
+        summaries(spark, sf), reviews, now())
+    count = lambda c: F.when(F.col(c).isNull(), 0).otherwise(F.size(c)).alias(c)
+    return rows.select(
+        "issue_id", "status", count("members"), F.col("members")[0]["aid"].alias("newest_member"), count("anchors"), count("timeline"),
+        F.col("timeline")[0]["url"].alias("newest_entry"), F.col("summary.model").alias("model"), F.col("review").isNotNull().alias("in_review"))

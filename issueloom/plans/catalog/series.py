@@ -170,3 +170,43 @@ def index_closes(spark: SparkSession, sf: str) -> DataFrame:
     body = F.struct(F.struct(F.struct(F.struct(F.array(item).alias("item")).alias("items")).alias("body")).alias("response"))
     p = e.select(F.col("user_id").cast("string").alias("series_id"), F.to_json(body).alias("payload"))
     return payloads.index_closes(p).withColumn("t", F.date_format("t", "yyyy-MM-dd"))
+
+
+RATE_SQL = f"""
+{EVENTS_OBS}, {LAG},
+c AS (SELECT *, strftime(ts, '%Y-%m') AS period FROM lagged WHERE abs(value - prev_value) >= 0.05 AND value <> prev_value)
+"""
+
+
+@query("rate_events", f"""
+WITH {RATE_SQL}
+SELECT 'fred_' || series_id || '_' || strftime(ts, '%Y-%m-%d') AS key, tie, '미 연준 기준금리 변동 (' || printf('%.2f', value) || '%)' AS title, period,
+  value, prev_value AS prev, CAST(round((value - prev_value) * 100) AS DOUBLE) AS change, 'bp' AS unit FROM c
+UNION ALL
+SELECT 'ecos_' || series_id || '_' || strftime(ts, '%Y-%m-%d'), tie, '한국은행 기준금리 ' || CASE WHEN value < prev_value THEN '인하' ELSE '인상' END || ' (' || printf('%.2f', value) || '%)', period,
+  value, prev_value, round(abs(value - prev_value), 4), '%p' FROM c""")
+def rate_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Level changes as event documents in both published forms."""
+    changes = G.level_changes(_events(spark, sf), 0.05).withColumn("entity", F.col("series_id"))
+    parts = []
+    for korean in (False, True):
+        docs = G.rate_events(changes.withColumn("series_id", F.concat_ws("#", "series_id", F.col("tie").cast("string"))), korean)
+        parts.append(docs)
+    rows = parts[0].unionByName(parts[1])
+    tie = F.regexp_extract("key", r"#(\d+)_", 1).cast("long")
+    level, change = F.col("anchors")[0], F.col("anchors")[1]
+    return rows.select(
+        F.regexp_replace("key", r"#\d+", "").alias("key"), tie.alias("tie"), "title", "period", level["value"].alias("value"),
+        level["prev"].alias("prev"), change["value"].alias("change"), change["unit"].alias("unit"))
+
+
+@query("macro_events", f"""
+WITH {ORDERS_OBS}, {LAG},
+c AS (SELECT *, strftime(ts, '%Y-%m') AS period FROM lagged WHERE date_trunc('month', ts) <> date_trunc('month', prev_ts) AND ts >= TIMESTAMP '2000-01-01')
+SELECT 'fred_' || series_id || '_' || strftime(ts, '%Y-%m-%d') AS key, '미국 CPI ' || period || ' 발표' AS title, 'CPI(YoY%)' AS metric, value, CAST(NULL AS DOUBLE) AS prev FROM c
+UNION ALL SELECT 'ecos_' || series_id || '_' || strftime(ts, '%Y-%m-%d'), '한국 소비자물가 ' || period || ' 발표', '소비자물가지수', value, prev_value FROM c""")
+def macro_events(spark: SparkSession, sf: str) -> DataFrame:
+    new = G.new_periods(_orders(spark, sf), F.lit("2000-01-01").cast("timestamp"), unit="day").withColumn("entity", F.col("series_id"))
+    rows = G.macro_events(new, False).unionByName(G.macro_events(new, True))
+    a = F.col("anchors")[0]
+    return rows.select("key", "title", a["metric"].alias("metric"), a["value"].alias("value"), a["prev"].alias("prev"))

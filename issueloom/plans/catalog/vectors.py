@@ -387,3 +387,12 @@ def tau_sweep(spark: SparkSession, sf: str) -> DataFrame:
 @query("tau_best", f"WITH {SWEEP_SQL} SELECT * FROM sweep ORDER BY f1 DESC, tau DESC LIMIT 1")
 def tau_best(spark: SparkSession, sf: str) -> DataFrame:
     return E.best_tau(E.sweep(_pairs(spark, sf), 0.0, 0.2, 0.02))
+
+
+@query("evaluate_texts")
+def evaluate_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The sweep over text pairs: each document and the next, the same when their language is."""
+    d = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    after = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("b"), F.col("lang").alias("other"))
+    pairs = d.join(after, "doc_id").select(F.col("doc_id").alias("pair"), F.col("text").alias("a"), "b", (F.col("lang") == F.col("other")).alias("same"))
+    return E.evaluate(pairs, LOW, None, 0.5, 0.9, 0.1)

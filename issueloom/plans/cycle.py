@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.vectors import dot
 from ..operators import classify as K, cluster as C, dedup as D, embed as E, events as V, lifecycle as L, readmodel as R, summary as Y
-from ..operators.ordered import spread_join
+from ..operators.ordered import spread_join, top_n
 from ..operators.series import allowed_visuals, resolve_visual
 from ..session import cut, fresh_path
 from ..settings import Settings
@@ -133,7 +133,7 @@ def append_timeline(stored: DataFrame, fresh: DataFrame) -> DataFrame:
 def add_vectors(articles: DataFrame, issues: DataFrame, s: Settings, embed: Callable | None) -> tuple[DataFrame, DataFrame]:
     """Vectors for the newest articles without one (not of archived issues) and for official issues."""
     dead = issues.filter("status = 'archived'").select(F.col("id").alias("issue_id"))
-    lacking = articles.filter(F.col("vec").isNull()).join(dead, "issue_id", "left_anti")
+    lacking = spread_join(articles.filter(F.col("vec").isNull()), dead, ["issue_id"], "left_anti", ["aid"])
     some = E.text_vectors(lacking.drop("vec"), s, embed, s.max_vectors_per_run, "collected_at").select("id", F.col("vec").alias("_v"))
     articles = cut(articles.join(some, "id", "left").withColumn("vec", F.coalesce("vec", "_v")).drop("_v"))
     bare = V.missing_centroids(issues).select("id", F.col("canonical_title").alias("title"), F.lit("").alias("lead"))
@@ -161,7 +161,8 @@ def cluster(articles: DataFrame, issues: DataFrame, timeline: DataFrame, now: Co
     open_ = C.open_articles(articles, now, s)
     targets = C.eligible_issues(_counted(issues, articles), now, s)
     decided = C.assign(open_.select("aid", "vec", "keys", "hold_count"), targets.select("iid", "vec", "keys", "official"), s)
-    decided = cut(spread_join(decided, names, ["best_issue"], "left", ["aid"]).join(near_names, "last_sim_issue", "left"))
+    decided = spread_join(decided, names, ["best_issue"], "left", ["aid"])
+    decided = cut(spread_join(decided, near_names, ["last_sim_issue"], "left", ["aid"]))
 
     joined = decided.filter("decision = 'joined'").select("aid", F.col("best_issue").alias("iid")).join(
         open_.select("aid", "vec", "keys", "is_dup"), "aid")
@@ -205,7 +206,8 @@ def cluster(articles: DataFrame, issues: DataFrame, timeline: DataFrame, now: Co
 
 def categorise(issues: DataFrame, articles: DataFrame, d: Dictionaries, s: Settings, embed: Callable | None) -> DataFrame:
     names = issues.select(F.col("id").alias("issue_id"), "iid")
-    members = articles.filter(F.col("issue_id").isNotNull()).select("issue_id", "aid", "title").join(names, "issue_id")
+    some = top_n(articles.filter(F.col("issue_id").isNotNull()).select("issue_id", "aid", "title"), ["issue_id"], [F.col("aid")], 10)
+    members = some.join(names, "issue_id")
     keyword = K.keyword_category(issues.select("iid", "canonical_title"), members, d.categories)
     sentences = [(i, c, t) for i, (c, _) in enumerate(d.categories) if c != K.FALLBACK for t in d.prototypes.get(c, [])]
     if sentences:
@@ -258,7 +260,7 @@ def facts_of(state: State, s: Settings) -> DataFrame:
     centroid = live.select(F.col("id").alias("iid"), F.col("vec").alias("_c"))
     members = articles.filter(F.col("issue_id").isNotNull() & ~F.col("is_dup")).select(
         F.col("issue_id").alias("iid"), "aid", "published_at", "title", "vec")
-    members = members.join(centroid, "iid").withColumn(
+    members = spread_join(members, centroid, ["iid"], "inner", ["aid"]).withColumn(
         "sim", F.when(F.col("_c").isNotNull() & F.col("vec").isNotNull(), dot("vec", "_c"))).withColumn("has_centroid", F.col("_c").isNotNull())
     heads = C.representative_rows(members.drop("vec", "_c"), s.max_headlines).select(F.col("iid").alias("issue_id"), "rank", "title")
     return Y.payloads(live, state["anchors"], heads, articles, s).withColumn("fact_hash", Y.fingerprint())
@@ -319,7 +321,7 @@ def publish(state: State, d: Dictionaries, series: DataFrame | None = None) -> t
 
 def prune_vectors(articles: DataFrame, issues: DataFrame) -> DataFrame:
     dead = issues.filter("status = 'archived'").select(F.col("id").alias("issue_id"), F.lit(True).alias("_dead"))
-    return articles.join(dead, "issue_id", "left").withColumn("vec", F.when(F.col("_dead").isNull(), F.col("vec"))).drop("_dead")
+    return spread_join(articles, dead, ["issue_id"], "left", ["aid"]).withColumn("vec", F.when(F.col("_dead").isNull(), F.col("vec"))).drop("_dead")
 
 
 def run_cycle(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import entity_keys, is_foreign, or_empty, parse_time, period_bucket, strip_tags
-from ..operators.ordered import top_n
+from ..operators.ordered import spread_join, top_n
 from ..settings import (
     EARNINGS_PATTERN, NOTICE_PATTERN, OPERATING_INCOME_TAGS, REPORT_QUARTER, RESULTS_ITEM_PATTERN, REVENUE_TAGS,
 )
@@ -94,7 +94,7 @@ def earnings_events(disclosures: DataFrame, facts: DataFrame, aliases: list[tupl
     first = top_n(usable, ["corp_code", "period"], [F.col("seq")], per_event)
     packed = first.groupBy("corp_code", "period").agg(F.array_sort(F.collect_list(F.struct("seq", "anchor"))).alias("_a"))
     early = F.when(F.col("report_name").contains("잠정"), "잠정").otherwise("")
-    return kept.join(packed, ["corp_code", "period"], "left").select(
+    return spread_join(kept, packed, ["corp_code", "period"], "left", ["receipt_no"]).select(
         F.concat(F.lit("dart_"), "receipt_no").alias("key"), F.lit("EARNINGS").alias("category"),
         F.col("corp_name").alias("entity"), "period",
         F.concat("corp_name", F.lit(" "), "period", F.lit(" "), early, F.lit("실적 공시")).alias("title"),
@@ -136,6 +136,22 @@ def latest_quarters(concepts: DataFrame, tags: list[str], n: int = 4) -> DataFra
         "_choice", F.struct(rank.alias("tag_rank"), F.col("frame").isNull().cast("int").alias("unframed"))
     )
     chosen = usable.groupBy("cik", "metric").agg(F.min("_choice").alias("_best"))
-    same = usable.join(chosen, ["cik", "metric"]).filter(F.col("_choice") == F.col("_best"))
+    same = spread_join(usable, chosen, ["cik", "metric"], "inner", ["seq"]).filter(F.col("_choice") == F.col("_best"))
     newest = top_n(same, ["cik", "metric"], [F.col("end").desc(), F.col("seq")], n)
     return newest.select("cik", "metric", "end", F.round(F.col("val") / 1e6, 1).alias("value"), F.col("rn").alias("rank"))
+
+
+def filing_anchors(events: DataFrame, concepts: DataFrame, n: int = 4) -> DataFrame:
+    """Filings with up to n anchors: revenue of the latest quarters first, then operating income."""
+    parts = []
+    for order, (metric, tags) in enumerate((("매출", REVENUE_TAGS), ("영업이익", OPERATING_INCOME_TAGS))):
+        rows = latest_quarters(concepts.withColumn("metric", F.lit(metric)), tags, n)
+        parts.append(rows.withColumn("_o", F.lit(order)))
+    both = top_n(parts[0].unionByName(parts[1]), ["cik"], [F.col("_o"), F.col("rank")], n, "_r")
+    anchor = F.struct("_r", "metric", "value", F.col("end").alias("period"))
+    packed = both.groupBy("cik").agg(F.array_sort(F.collect_list(anchor)).alias("_a"))
+    out = spread_join(events, packed, ["cik"], "left", ["key"])
+    shown = F.transform("_a", lambda a: F.struct(
+        a["metric"].alias("metric"), a["value"].alias("value"), F.lit("백만달러").alias("unit"), a["period"].alias("period")))
+    none = F.array().cast("array<struct<metric:string,value:double,unit:string,period:string>>")
+    return out.withColumn("anchors", F.coalesce(shown, none)).drop("_a")

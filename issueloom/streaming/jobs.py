@@ -13,9 +13,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import series as G
+from ..operators.readmodel import index_document
 from ..operators.dedup import first_by_id, mark_near_duplicates
-from ..session import fresh_path
+from ..plans.cycle import Dictionaries, empty_state, load_state, run_cycle
 from ..settings import Settings
+from ..sources.landing import publish
 
 
 def source(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -111,3 +113,21 @@ def ingest_batches(path: str, s: Settings, time_col: str | None = "published_at"
         out.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
 
     return run
+
+
+def cycle_batches(path: str, events: Callable, clock: Callable, d: Dictionaries, s: Settings, **options) -> Callable:
+    """foreachBatch function: one whole cycle per micro-batch of raw articles.
+
+    `events(batch_id)` gives the event documents to consider, `clock(batch_id)` the time of the cycle. State is one
+    folder per batch, so a repeated batch starts again from the state before it.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state = empty_state(spark) if batch_id == 0 else load_state(spark, f"{path}/state/batch={batch_id - 1}")
+        _, stats, cards, details = run_cycle(
+            spark, state, batch, events(batch_id), clock(batch_id), d, s, folder=f"{path}/state/batch={batch_id}", **options)
+        index = index_document(cards, clock(batch_id), "")
+        publish(index, details, f"{path}/published")
+        run.stats = stats
+
+    return run

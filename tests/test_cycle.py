@@ -6,10 +6,11 @@ import json
 from pyspark.sql import functions as F
 
 from issueloom.functions.text import url_id
-from issueloom.operators.dedup import distinct_sources
+from issueloom.plans import cycle as C
 from issueloom.plans.cycle import Dictionaries, empty_state, load_state, run_cycle
 from issueloom.settings import Settings
-from issueloom.sources import landing, schemas
+from issueloom.sources import landing
+from issueloom.streaming import jobs as J
 
 NOW = dt.datetime(2026, 7, 10, 12, 0, 0)
 
@@ -94,7 +95,13 @@ def test_cycle_end_to_end_and_again(spark, tmp_path):
     for r in details.collect():
         assert r.timeline and r.details and r.model == "generated"
 
-    state2, stats2, _, _ = run_cycle(spark, state, raw, events, now, d, s, generate=good_text, folder=str(tmp_path / "s2"))
-    assert stats2["inserted"] == 0 and stats2["express"] == 0
-    assert stats2.get("process", 0) == 0 and stats2["cached"] >= 3
-    assert load_state(spark, str(tmp_path / "s2"))["runs"].count() == 2
+    # the next micro-batch brings the same rows: nothing is new, published files stay
+    save = J.cycle_batches(str(tmp_path / "stream"), lambda b: events, lambda b: now, d, s, generate=good_text)
+    C.save_state(state, str(tmp_path / "stream/state/batch=0"))
+    save(raw, 1)
+    assert save.stats["inserted"] == 0 and save.stats["express"] == 0
+    assert save.stats.get("process", 0) == 0 and save.stats["cached"] >= 3
+    assert load_state(spark, str(tmp_path / "stream/state/batch=1"))["runs"].count() == 2
+    index = spark.read.json(str(tmp_path / "stream/published/index")).collect()[0]
+    assert index.schema_version == 3 and len(index.issues) == len(shown)
+    assert spark.read.parquet(str(tmp_path / "stream/published/details")).count() == len(shown)
