@@ -83,15 +83,15 @@ def mark_near_duplicates(
     time_col: str | None = None,
     k: int = 3,
     window_h: int = 48,
-    blocks: int = 5,
+    blocks: int | None = None,
     salts: int = 32,
     hot_limit: int = 2_000,
 ) -> DataFrame:
     """Add `is_dup`: some row before this one in `order_col` has a hash within k bits, and the two times are at
     most window_h apart or one of them is missing. `order_col` must be unique.
 
-    `blocks` trades copies for candidates: with 5 blocks a hash is sent 10 times under 25-bit keys; 6 blocks send
-    it 20 times under 32-bit keys, which pays from about a billion distinct hashes per slice on.
+    `blocks` trades copies for candidates: with 4 blocks a hash is sent 4 times under 16-bit keys, with 5 blocks 10
+    times under 25-bit keys, with 6 blocks 20 times under 32-bit keys. Left open, the largest slice decides.
 
     1. Rows collapse to groups (hash, time slice of one window). Only the first row of a group can be free of a
        duplicate inside its own group, all later ones are marked without any pair.
@@ -111,17 +111,24 @@ def mark_near_duplicates(
     groups = rows.groupBy("h", "slice").agg(F.min(F.struct("o", "t")).alias("m"))
     # five branches below read the groups, so they are written once
     groups = cut(groups.select("h", "slice", F.col("m.o").alias("o"), F.col("m.t").alias("t")))
+    slices = groups.groupBy("slice").count()
+    if blocks is None:
+        largest = slices.agg(F.max("count")).first()[0] or 0  # one number
+        blocks = 4 if largest <= 2**18 else 5 if largest <= 2**27 else 6
+    # rows without a time meet all others, and only then are the two special slices needed
+    untimed = slices.agg(F.coalesce(F.bool_or(F.col("slice") == NO_TIME), F.lit(False))).scalar()
+    timed = slices.agg(F.coalesce(F.bool_or(F.col("slice") != NO_TIME), F.lit(False))).scalar()
     anywhere = groups.groupBy("h").agg(F.min("o").alias("o")).select(
         "h", F.lit(ANY_TIME).alias("slice"), "o", F.lit(None).cast("double").alias("t")
-    )
-
-    sought = F.when(F.col("slice") == NO_TIME, F.array(F.lit(ANY_TIME))).otherwise(
-        F.array(F.col("slice") - 1, F.col("slice"), F.col("slice") + 1, F.lit(NO_TIME))
-    )
-    targets = groups.unionByName(anywhere)
+    ).filter(untimed)
+    around = F.array(F.col("slice") - 1, F.col("slice"), F.col("slice") + 1)
+    sought = F.when(F.col("slice") == NO_TIME, F.array(F.lit(ANY_TIME))).when(
+        untimed, F.array_append(around, F.lit(NO_TIME))
+    ).otherwise(around)
+    targets = groups.filter((F.col("slice") != NO_TIME) | timed).unionByName(anywhere)
     hot = hot_bands(groups, "h", k, blocks, hot_limit)
     probes = band_rows(groups, "h", k, blocks, hot).withColumn("seek", F.explode(sought)).select(
-        *BAND_KEYS, "seek", F.col("h").alias("ph"), F.col("o").alias("po"), F.col("t").alias("pt")
+        *BAND_KEYS, "seek", F.col("h").alias("ph"), F.col("o").alias("po"), F.col("t").alias("pt"), F.col("slice").alias("ps")
     )
     # the rows below are exploded, which size estimates do not see: they are merged, never broadcast
     held = band_rows(targets, "h", k, blocks, hot).hint("merge").select(
@@ -133,7 +140,9 @@ def mark_near_duplicates(
     settled = probes.join(held, [*keys, earlier & near], "left_semi").select(F.col("po").alias("o")).distinct()
     free = groups.select("o").join(settled, "o", "left_anti")
     if time_col is not None:
-        pending = probes.join(free.select(F.col("o").alias("po")), "po", "left_semi")
+        # inside one slice everything is near, so only the slices on both sides can be undecided
+        beside = probes.filter((F.col("seek") == F.col("ps") - 1) | (F.col("seek") == F.col("ps") + 1))
+        pending = beside.join(free.select(F.col("o").alias("po")), "po", "left_semi")
         open_ = (
             pending.join(held, [*BAND_KEYS, "seek"]).filter(earlier & ~near)
             .select("po", "pt", F.col("th").alias("h"), F.col("seek").alias("slice")).distinct()
