@@ -29,6 +29,7 @@ WIDE = {"documents", "pages", "conversations", "lineitem"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return widen(df) if name in WIDE else df
 

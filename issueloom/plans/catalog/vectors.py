@@ -111,12 +111,33 @@ def seed_partner(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("seed_pairs")
+# The sequential pass in SQL: one recursion step per turn, with the list of used articles as its state.
+SEED_SQL = """
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS gate, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS sim
+      FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+near AS (SELECT * FROM s WHERE sim >= 0.25),
+partner AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS rn FROM near WHERE gate) WHERE rn = 1),
+closer AS (SELECT n.a, list(n.b) AS bs FROM near n JOIN partner p USING (a) WHERE n.sim > p.sim OR (n.sim = p.sim AND n.b < p.b) GROUP BY n.a),
+turns AS (SELECT row_number() OVER (ORDER BY p.a) AS n, p.a, p.b, p.sim, list_concat([p.a, p.b], coalesce(bs, [])) AS looks FROM partner p LEFT JOIN closer USING (a)),
+walk(n, used, ok) AS (
+  SELECT 0::BIGINT, []::BIGINT[], false
+  UNION ALL
+  SELECT t.n, CASE WHEN list_has_any(w.used, t.looks) THEN w.used ELSE list_concat(w.used, [t.a, t.b]) END, NOT list_has_any(w.used, t.looks)
+  FROM walk w JOIN turns t ON t.n = w.n + 1),
+seeded AS (SELECT t.a, t.b, t.sim FROM walk w JOIN turns t USING (n) WHERE w.ok)
+"""
+
+
+@query("seed_pairs", f"WITH RECURSIVE {SEED_SQL} SELECT a, b, round(sim, 6) AS sim FROM seeded")
 def seed_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return C.seed_pairs(_pool(spark, sf), Settings(tau_join=0.25)).select("a", "b", F.round("sim", 6).alias("sim"))
 
 
-@query("seed_issues")
+@query("seed_issues", f"""
+WITH RECURSIVE {SEED_SQL}, t AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, sha1(CAST(doc_id AS VARCHAR)) AS k FROM documents)
+SELECT 'c' || substr(sha1(x.k || '|' || y.k), 1, 16) AS id, CASE WHEN a < b THEN x.title ELSE y.title END AS canonical_title,
+  CASE WHEN e.label = 0 THEN '' ELSE CAST(e.label AS VARCHAR) END AS keys, round(sim, 6) AS sim
+FROM seeded JOIN t x ON x.doc_id = a JOIN t y ON y.doc_id = b JOIN embeddings e ON e.vec_id = a""")
 def seed_issues(spark: SparkSession, sf: str) -> DataFrame:
     """New candidate issues from the pairs: id, title of the earlier document, union of keys."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("aid"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"))
@@ -155,14 +176,38 @@ def _merge_input(spark, sf):
     )
 
 
-@query("merge_groups")
+# The scan over all pairs in SQL: one step per candidate pair, with the gone issues and the live sizes as its state.
+MERGE_SQL = """
+m AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label, least(30, 1 + n_chars // 400)::BIGINT AS members, n_chars AS age,
+        coalesce(l.toxic, 0) = 1 AS official
+      FROM embeddings JOIN documents d ON d.doc_id = vec_id LEFT JOIN labels l ON l.doc_id = vec_id),
+c AS (SELECT row_number() OVER (ORDER BY a.id, b.id) AS n, a.id AS i, b.id AS j,
+        CASE WHEN a.official <> b.official THEN a.official ELSE a.age <= b.age END AS first_wins
+      FROM m a JOIN m b ON a.id < b.id AND a.label = b.label AND a.label <> 0 WHERE round(list_dot_product(a.v, b.v), 9) >= 0.25),
+scan(n, gone, size, ok) AS (
+  SELECT 0::BIGINT, []::BIGINT[], (SELECT map_from_entries(list({'k': id, 'v': members})) FROM m), false
+  UNION ALL
+  SELECT n, CASE WHEN ok THEN list_append(gone, loser) ELSE gone END, CASE WHEN ok THEN map_concat(size, MAP {winner: total}) ELSE size END, ok FROM (
+    SELECT c.n, s.gone, s.size, s.size[c.i] + s.size[c.j] AS total, CASE WHEN first_wins THEN c.i ELSE c.j END AS winner,
+      CASE WHEN first_wins THEN c.j ELSE c.i END AS loser,
+      NOT list_contains(s.gone, c.i) AND NOT list_contains(s.gone, c.j) AND s.size[c.i] + s.size[c.j] <= 40 AS ok
+    FROM scan s JOIN c ON c.n = s.n + 1)),
+steps AS (SELECT CASE WHEN first_wins THEN c.j ELSE c.i END AS loser, CASE WHEN first_wins THEN c.i ELSE c.j END AS winner FROM scan JOIN c USING (n) WHERE ok),
+chain(loser, winner) AS (SELECT loser, winner FROM steps UNION ALL SELECT a.loser, b.winner FROM chain a JOIN steps b ON b.loser = a.winner),
+final AS (SELECT loser, winner FROM chain WHERE winner NOT IN (SELECT loser FROM steps))
+"""
+
+
+@query("merge_groups", f"WITH RECURSIVE {MERGE_SQL} SELECT loser, winner FROM final")
 def merge_groups(spark: SparkSession, sf: str) -> DataFrame:
     """Merged issues with the issue they end up in."""
     steps = C.merge_steps(_merge_input(spark, sf), Settings(merge_sim=0.25))
     return C.final_winner(steps)
 
 
-@query("merge_repoint")
+@query("merge_repoint", f"""
+WITH RECURSIVE {MERGE_SQL} SELECT coalesce(winner, user_id) AS issue_id, CAST(count(*) AS BIGINT) AS children
+FROM events LEFT JOIN final ON loser = user_id GROUP BY ALL""")
 def merge_repoint(spark: SparkSession, sf: str) -> DataFrame:
     """Children of merged issues counted at their new issue."""
     mapping = C.final_winner(C.merge_steps(_merge_input(spark, sf), Settings(merge_sim=0.25)))
@@ -346,7 +391,7 @@ def category_fallback(spark: SparkSession, sf: str) -> DataFrame:
         "iid", "canonical_title", F.when(official, "GEO").otherwise("ETC").alias("category"),
         F.when(official, "official_event").otherwise("cluster").alias("origin"), F.lit("active").alias("status"),
     )
-    members = docs.limit(0).select("iid", F.col("iid").alias("aid"), F.col("canonical_title").alias("title"))
+    members = docs.filter(F.lit(False)).select("iid", F.col("iid").alias("aid"), F.col("canonical_title").alias("title"))
     keyword = K.keyword_category(issues, members, WORDS)
     return K.classify(issues, keyword, proto).select("iid", "category")
 

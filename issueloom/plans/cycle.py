@@ -88,7 +88,8 @@ def ingest(state: State, raw: DataFrame, now: Column, d: Dictionaries, s: Settin
     """(articles, new articles): normalised, exact and near duplicates handled."""
     rows = normalize(raw, d.aliases)
     fresh = D.first_by_id(rows, "id", [F.col("collected_at"), F.col("source")]).join(state["articles"].select("id"), "id", "left_anti")
-    fresh = numbered(fresh.drop("num_tags"), ["collected_at", "id"], state["articles"], "aid")
+    # the numbering samples its input before it sorts, so the tagged rows are written first
+    fresh = numbered(cut(fresh.drop("num_tags")), ["collected_at", "id"], state["articles"], "aid")
     recent = F.col("published_at").isNull() | (F.col("published_at") >= now - F.expr(f"INTERVAL {2 * s.dup_window_h} HOURS"))
     cols = ["aid", "simhash", "published_at"]
     pool = state["articles"].select(*cols).unionByName(fresh.select(*cols)).filter(recent)
