@@ -134,15 +134,16 @@ def seed_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("seed_issues", f"""
-WITH RECURSIVE {SEED_SQL}, t AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, sha1(CAST(doc_id AS VARCHAR)) AS k FROM documents)
-SELECT 'c' || substr(sha1(x.k || '|' || y.k), 1, 16) AS id, CASE WHEN a < b THEN x.title ELSE y.title END AS canonical_title,
+WITH RECURSIVE {SEED_SQL}, t AS (SELECT doc_id, split_part(text, chr(10), 1) AS title FROM documents)
+SELECT 'c' || substr(sha1(sha1(CAST(a AS VARCHAR)) || '|' || sha1(CAST(b AS VARCHAR))), 1, 16) AS id,
+  CASE WHEN a < b THEN x.title ELSE y.title END AS canonical_title,
   CASE WHEN e.label = 0 THEN '' ELSE CAST(e.label AS VARCHAR) END AS keys, round(sim, 6) AS sim
-FROM seeded JOIN t x ON x.doc_id = a JOIN t y ON y.doc_id = b JOIN embeddings e ON e.vec_id = a""")
+FROM seeded LEFT JOIN t x ON x.doc_id = a LEFT JOIN t y ON y.doc_id = b JOIN embeddings e ON e.vec_id = a""")
 def seed_issues(spark: SparkSession, sf: str) -> DataFrame:
     """New candidate issues from the pairs: id, title of the earlier document, union of keys."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("aid"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"))
     at = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(hours=F.col("aid").cast("int"))
-    pool = _pool(spark, sf).join(docs, "aid").withColumn("published_at", at).withColumn("article_key", F.sha1(F.col("aid").cast("string").cast("binary")))
+    pool = _pool(spark, sf).join(docs, "aid", "left").withColumn("published_at", at).withColumn("article_key", F.sha1(F.col("aid").cast("string").cast("binary")))
     pairs = cut(C.seed_pairs(pool, Settings(tau_join=0.25)))
     made = C.issues_from_pairs(pairs, pool)
     return made.select("id", "canonical_title", F.array_join("keys", "|").alias("keys"), F.round("sim", 6).alias("sim"))
