@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, shards
+from . import langid, shards, simhash
 from .common import text_crc32, whole
 
 QUERIES = {}
@@ -41,3 +41,10 @@ def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(whole("text").cast("binary")).alias("text_crc32"))
     return shards.assign(docs, ["doc_id", "size", "text_crc32"], 16).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(table(spark, sf_dir, "documents"), words=3)
+    return found.select(F.col("key").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                        F.col("component").alias("component_id"))
