@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, shards, simhash
+from . import langid, mixing, shards, simhash, tokenfile
 from .common import text_crc32, whole
 
 QUERIES = {}
@@ -48,3 +48,52 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(table(spark, sf_dir, "documents"), words=3)
     return found.select(F.col("key").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op4_tokens")
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+    return found.select(F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), "ids_crc32")
+
+
+MIXING_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         length(coalesce(text, '')) AS chars,
+         (CAST('0x' || substr(md5('7|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  FROM documents),
+keyed AS (
+  SELECT *, -ln(u) / greatest(0.1::DOUBLE, 1 - abs(chars::DOUBLE / greatest(size, 1) - 6) / 6) AS k FROM sized),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [5.0::DOUBLE, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+  FROM keyed GROUP BY source),
+levels AS (
+  SELECT *, 2.0::DOUBLE * source_size / w AS ratio,
+         (1.5::DOUBLE * sum(source_size) OVER () - 2.0::DOUBLE * coalesce(sum(source_size) OVER (
+            ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(w) OVER (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources),
+goals AS (
+  SELECT source, source_size, CASE WHEN level > ratio THEN 2.0::DOUBLE * source_size
+         ELSE least((min(level) FILTER (WHERE level <= ratio) OVER ()) * w, 2.0::DOUBLE * source_size) END AS target FROM levels),
+placed AS (
+  SELECT doc_id, size, source_size, target,
+         CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs,
+         coalesce(sum(size) OVER (PARTITION BY keyed.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM keyed JOIN goals ON keyed.source IS NOT DISTINCT FROM goals.source)
+SELECT doc_id, size, source_size, target,
+       CAST(epochs * size + least(size, greatest(0, floor(target - epochs * source_size) - before)) AS BIGINT) AS taken
+FROM placed"""
+
+
+@query("op5_mixing", MIXING_SQL)
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.plan(table(spark, sf_dir, "documents"), [5, 2, 1])
+    return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
