@@ -17,10 +17,13 @@ Other columns are not stored. Writing is a normal Spark write and so survives lo
 
 from __future__ import annotations
 
+import os
 import re
+import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +35,29 @@ from .common import runs, utf8, whole
 
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
+SIZES = np.array([0] + [c for c, _ in PACKS] + [1])  # values by selector
+BIT_LENGTH = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
 BLOCK_WORDS = 1 << 17
 MEMO = 400_000
-#: Characters next to which a single space or line feed always ends a piece; anything else is left to the tokenizer.
-ODD = re.compile("[^\n !-~À-ɏ]|[ \n][ \n]|^[ \n]|[ \n]$")
+#: Next to these characters a single space or line feed always ends a piece; anything else is left to the tokenizer.
+ODD = re.compile("[^\n !-~À-ɏ]")
+LETTERS = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+
+
+def _window_maxima(bits: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each pack, small counts first, the largest of `count` values from each position on (255 beyond the end)."""
+    power, size = bits, 1
+    for s in range(len(PACKS), 0, -1):
+        c = PACKS[s - 1][0]
+        while 2 * size <= c:
+            grown = np.full_like(power, 255)
+            grown[:-size] = np.maximum(power[:-size], power[size:])
+            power, size = grown, 2 * size
+        most = power.copy()
+        if c > size:
+            most[:size - c] = np.maximum(power[:size - c], power[c - size:])
+            most[size - c:] = 255
+        yield s, most
 
 
 def pack(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -43,27 +65,19 @@ def pack(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(lengths), np.int64)
-    bits = np.zeros(n, np.int8)
-    for shift in (32, 16, 8, 4, 2, 1):  # bit length by halving
-        big = (ids >> bits.astype(np.uint64)) >> np.uint64(shift) > 0
-        bits[big] += shift
-    bits = bits + (ids > 0)
-    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(n)
-    count = np.ones(n, np.int64)
+    bits, rest = np.zeros(n, np.uint8), ids.copy()
+    while rest.any():
+        bits += BIT_LENGTH[(rest & np.uint64(0xFFFF)).astype(np.int64)] if not (rest >> np.uint64(16)).any() else np.where(
+            rest >> np.uint64(16) > 0, 16, BIT_LENGTH[(rest & np.uint64(0xFFFF)).astype(np.int64)]).astype(np.uint8)
+        rest >>= np.uint64(16)
+    pad = 64  # so that every window exists
+    bits = np.append(bits, np.full(pad, 255, np.uint8))
+    left = np.minimum(np.repeat(np.cumsum(lengths), lengths) - np.arange(n), 64).astype(np.uint8)
     code = np.full(n, ESCAPE, np.uint8)
-    done = np.zeros(n, bool)
-    for s, (c, width) in enumerate(PACKS):
-        fits = bits <= width
-        if c > 1:
-            if int(np.count_nonzero(fits)) < c:
-                continue
-            bad = np.concatenate([np.zeros(1, np.int32), np.cumsum(~fits, dtype=np.int32)])
-            ok = np.zeros(n, bool)
-            ok[:n - c + 1] = bad[c:] == bad[:n - c + 1]
-            fits = ok & (left >= c)
-        new = fits & ~done
-        code[new], count[new] = s + 1, c
-        done |= new
+    for s, most in _window_maxima(bits):
+        c, width = PACKS[s - 1]
+        code[(most[:n] <= width) & (left >= c)] = s
+    count = SIZES[code]
     step, starts, at = count.tolist(), [], 0
     while at < n:
         starts.append(at)
@@ -92,7 +106,7 @@ def unpack(words: np.ndarray) -> np.ndarray:
     for at in np.flatnonzero(kinds == ESCAPE):
         if not raw[at]:
             raw[at + 1] = True
-    sizes = np.array([0] + [c for c, _ in PACKS] + [0])[kinds]
+    sizes = np.where(kinds == ESCAPE, 0, SIZES[kinds])
     sizes[raw] = 1
     at = np.cumsum(sizes) - sizes
     out = np.zeros(int(sizes.sum()), np.uint64)
@@ -105,52 +119,83 @@ def unpack(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def pieces(text: str) -> list[str]:
-    """Units of a text without odd places: each starts with its space, line feeds stand alone."""
-    out: list[str] = []
-    for k, line in enumerate(text.split("\n")):
-        if k:
-            out.append("\n")
-        first, *rest = line.split(" ")
-        out.append(first)
-        out += [" " + w for w in rest]
-    return out
+def odd(text: str) -> bool:
+    return (not text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n"
+            or ODD.search(text) is not None)
 
 
-def packed(text: Column, tokenizer_json: str, end_id: int) -> Column:
-    """struct(n, words): the number of ids of a text with the end id, and its words as bytes."""
+class Memo(dict):
+    """Ids of units with the same first character (none or a space), learned on demand. Beyond the bound, units that were
+    not used since the last time are forgotten."""
 
-    @F.arrow_udf("struct<n:int,words:binary>")
-    def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import os
+    def __init__(self, tokenizer, lead: str) -> None:
+        self.tokenizer, self.lead, self.old = tokenizer, lead, {}
+        letters = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level alphabet: other bytes from 256 on
+        others = [b for b in range(256) if b not in letters]
+        self.table = {**{b: b for b in letters}, **{b: 256 + i for i, b in enumerate(others)}}
+
+    def _one(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.table))]).tobytes()
+
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        got = self.old.get(unit)
+        if got is None:
+            plain = LETTERS.fullmatch(self.lead + unit)
+            if plain:  # one run of letters, then one run of marks: each is a piece of its own
+                got = self._one(plain[1]) + (self._one(plain[2]) if plain[2] else b"")
+            else:
+                got = array("I", self.tokenizer.encode_batch_fast([self.lead + unit], add_special_tokens=False)[0].ids).tobytes()
+        self[unit] = got
+        return got
+
+
+class Encoder:
+    """Texts to little-endian 32-bit ids."""
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, tokenizer_json: str) -> None:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(tokenizer_json)
-        memo: dict[str, bytes] = {}
-        end = array("I", [end_id]).tobytes()
-
-        def ids_of(texts: list[str]) -> list[bytes]:
-            split = [None if ODD.search(t) else pieces(t) for t in texts]
-            new = {u for units in split if units for u in units if u not in memo}
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = {u for units in split if units for u in units}
-            todo = list(new)
-            for i in range(0, len(todo), 8192):
-                some = todo[i:i + 8192]
-                for u, got in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                    memo[u] = array("I", got.ids).tobytes()
-            return [b"".join(map(memo.__getitem__, units)) if units is not None else
-                    array("I", tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids).tobytes()
-                    for t, units in zip(texts, split)]
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.first, self.next = Memo(self.tokenizer, ""), Memo(self.tokenizer, " ")
+        self.feed = self.whole("\n")
 
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes() if text else b""
+
+    def encode(self, text: str) -> bytes:
+        if odd(text):
+            return self.whole(text)
+        out = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out.append(self.first[first] + b"".join(map(self.next.__getitem__, rest)))
+        return self.feed.join(out)
+
+
+def encoder(tokenizer_json: str) -> Encoder:
+    """One encoder for each tokenizer and Python worker, kept from task to task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    kept = sys.modules.setdefault("unit_memo_of_worker", ModuleType("unit_memo_of_worker")).__dict__
+    name = f"encoder_{zlib.crc32(tokenizer_json.encode())}"
+    if name not in kept:
+        kept[name] = Encoder(tokenizer_json)
+    return kept[name]
+
+
+def packed(text: Column, tokenizer_json: str, end_id: int) -> Column:
+    """struct(n, words): the number of ids of a text with the end id, and its words as bytes."""
+
+    @F.arrow_udf("struct<n:int,words:binary>")
+    def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder, end = encoder(tokenizer_json), array("I", [end_id]).tobytes()
         for batch in batches:
             _, offsets = utf8(batch)
             sizes, words = [], []
             for i, j in runs(offsets, 1 << 19):
-                each = [x + end for x in ids_of(batch.slice(i, j - i).to_pylist())]
+                each = [coder.encode(t) + end for t in batch.slice(i, j - i).to_pylist()]
                 lengths = np.array([len(x) // 4 for x in each], np.int64)
                 coded, taken = pack(np.frombuffer(b"".join(each), "<u4").astype(np.uint64), lengths)
                 at = np.concatenate([[0], np.cumsum(taken)])
@@ -164,10 +209,11 @@ def packed(text: Column, tokenizer_json: str, end_id: int) -> Column:
 def write(df: DataFrame, path: str, tokenizer_json: str, text: str = "text", key: str = "doc_id", end_id: int = 2) -> None:
     """Encode whole texts and write them in the order of the key."""
     spark = df.sparkSession
-    rows = df.select(F.col(key).alias("key"), packed(whole(text), tokenizer_json, end_id).alias("p"), F.monotonically_increasing_id().alias("tie"))
-    rows = rows.select("key", "tie", F.col("p.n").alias("n"), F.col("p.words").alias("words"))
+    rows = df.select(F.col(key).alias("key"), whole(text).alias("t"), F.monotonically_increasing_id().alias("tie"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(tasks, "key", "tie").sortWithinPartitions("key", "tie").drop("tie")
+    # dealt out before encoding: finding the ranges reads the input once more, and encoding must not run twice
+    rows = rows.repartitionByRange(tasks, "key", "tie").sortWithinPartitions("key", "tie")
+    rows = rows.select("key", packed(F.col("t"), tokenizer_json, end_id).alias("p")).select("key", "p.n", "p.words")
     kind = rows.schema["key"].dataType.simpleString()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
