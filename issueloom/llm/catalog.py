@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, mixing, shards, simhash, tokenfile
+from . import decontam, langid, mixing, mtree, shards, simhash, tokenfile
 from .common import text_crc32, whole
 
 QUERIES = {}
@@ -97,3 +97,25 @@ FROM placed"""
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.plan(table(spark, sf_dir, "documents"), [5, 2, 1])
     return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("hit")).select(
+        "doc_id", F.col("hit.item").alias("item_id"), F.col("hit.edits").alias("edits"), F.col("hit.end").alias("end_word"))
+
+
+TOPK_SQL = """
+WITH ints AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM ints q JOIN ints c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5"""
+
+
+@query("op7_topk", TOPK_SQL)
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mtree.search(table(spark, sf_dir, "embeddings"), F.col("key") % 50 == 0)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "score")

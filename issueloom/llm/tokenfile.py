@@ -28,7 +28,7 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import fresh_path
 from .common import runs, utf8, whole
@@ -37,7 +37,7 @@ PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (
 ESCAPE = 15
 SIZES = np.array([0] + [c for c, _ in PACKS] + [1])  # values by selector
 BIT_LENGTH = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
-BLOCK_WORDS = 1 << 17
+BLOCK_BYTES = 1 << 19  # of text, unless a single text is longer
 MEMO = 400_000
 #: Next to these characters a single space or line feed always ends a piece; anything else is left to the tokenizer.
 ODD = re.compile("[^\n !-~À-ɏ]")
@@ -65,13 +65,13 @@ def pack(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(lengths), np.int64)
-    bits, rest = np.zeros(n, np.uint8), ids.copy()
-    while rest.any():
-        bits += BIT_LENGTH[(rest & np.uint64(0xFFFF)).astype(np.int64)] if not (rest >> np.uint64(16)).any() else np.where(
-            rest >> np.uint64(16) > 0, 16, BIT_LENGTH[(rest & np.uint64(0xFFFF)).astype(np.int64)]).astype(np.uint8)
-        rest >>= np.uint64(16)
-    pad = 64  # so that every window exists
-    bits = np.append(bits, np.full(pad, 255, np.uint8))
+    bits, high = BIT_LENGTH[ids & ids.dtype.type(0xFFFF)], ids
+    for shift in (16, 32, 48):
+        high = high >> high.dtype.type(16)
+        if not high.any():
+            break
+        bits = np.where(high > 0, shift + BIT_LENGTH[high & high.dtype.type(0xFFFF)], bits).astype(np.uint8)
+    bits = np.append(bits, np.full(64, 255, np.uint8))  # so that every window exists
     left = np.minimum(np.repeat(np.cumsum(lengths), lengths) - np.arange(n), 64).astype(np.uint8)
     code = np.full(n, ESCAPE, np.uint8)
     for s, most in _window_maxima(bits):
@@ -89,7 +89,7 @@ def pack(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for s, (c, width) in enumerate(PACKS):
         rows = kinds == s + 1
         if rows.any():
-            v = ids[starts[rows][:, None] + np.arange(c)] << (np.arange(c, dtype=np.uint64) * np.uint64(width))
+            v = ids[starts[rows][:, None] + np.arange(c)].astype(np.uint64) << (np.arange(c, dtype=np.uint64) * np.uint64(width))
             words[place[rows]] = np.bitwise_or.reduce(v, axis=1) | np.uint64(s + 1) << np.uint64(60)
     raw = kinds == ESCAPE
     words[place[raw]] = np.uint64(ESCAPE) << np.uint64(60)
@@ -133,6 +133,7 @@ class Memo(dict):
         letters = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level alphabet: other bytes from 256 on
         others = [b for b in range(256) if b not in letters]
         self.table = {**{b: b for b in letters}, **{b: 256 + i for i, b in enumerate(others)}}
+        self.mark = lead.translate(self.table)
 
     def _one(self, piece: str) -> bytes:
         return array("I", [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.table))]).tobytes()
@@ -142,7 +143,11 @@ class Memo(dict):
             self.old = dict(self)
             self.clear()
         got = self.old.get(unit)
-        if got is None:
+        if got is not None:
+            pass
+        elif unit.isalpha() and unit.isascii():
+            got = array("I", [t.id for t in self.tokenizer.model.tokenize(self.mark + unit)]).tobytes()
+        else:
             plain = LETTERS.fullmatch(self.lead + unit)
             if plain:  # one run of letters, then one run of marks: each is a piece of its own
                 got = self._one(plain[1]) + (self._one(plain[2]) if plain[2] else b"")
@@ -185,27 +190,6 @@ def encoder(tokenizer_json: str) -> Encoder:
     return kept[name]
 
 
-def packed(text: Column, tokenizer_json: str, end_id: int) -> Column:
-    """struct(n, words): the number of ids of a text with the end id, and its words as bytes."""
-
-    @F.arrow_udf("struct<n:int,words:binary>")
-    def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder, end = encoder(tokenizer_json), array("I", [end_id]).tobytes()
-        for batch in batches:
-            _, offsets = utf8(batch)
-            sizes, words = [], []
-            for i, j in runs(offsets, 1 << 19):
-                each = [coder.encode(t) + end for t in batch.slice(i, j - i).to_pylist()]
-                lengths = np.array([len(x) // 4 for x in each], np.int64)
-                coded, taken = pack(np.frombuffer(b"".join(each), "<u4").astype(np.uint64), lengths)
-                at = np.concatenate([[0], np.cumsum(taken)])
-                sizes += lengths.tolist()
-                words += [coded[a:b].astype("<u8").tobytes() for a, b in zip(at, at[1:])]
-            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), pa.array(words, pa.binary())], ["n", "words"])
-
-    return udf(text)
-
-
 def write(df: DataFrame, path: str, tokenizer_json: str, text: str = "text", key: str = "doc_id", end_id: int = 2) -> None:
     """Encode whole texts and write them in the order of the key."""
     spark = df.sparkSession
@@ -213,36 +197,28 @@ def write(df: DataFrame, path: str, tokenizer_json: str, text: str = "text", key
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # dealt out before encoding: finding the ranges reads the input once more, and encoding must not run twice
     rows = rows.repartitionByRange(tasks, "key", "tie").sortWithinPartitions("key", "tie")
-    rows = rows.select("key", packed(F.col("t"), tokenizer_json, end_id).alias("p")).select("key", "p.n", "p.words")
     kind = rows.schema["key"].dataType.simpleString()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, end = encoder(tokenizer_json), array("I", [end_id]).tobytes()
         part, block, before = TaskContext.get().partitionId(), 0, 0
-        keys, counts, words, size = [], [], [], 0
-
-        def full() -> pa.RecordBatch:
-            at = np.cumsum([0] + [len(w) // 8 for w in words])[:-1]
-            return pa.RecordBatch.from_pydict({
-                "part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "before": pa.array([before], pa.int64()),
-                "keys": pa.array([keys], pa.list_(key_type)), "counts": pa.array([counts], pa.list_(pa.int32())),
-                "word_at": pa.array([at.tolist()], pa.list_(pa.int32())), "words": pa.array([b"".join(words)], pa.binary())})
-
         for batch in batches:
-            key_type = batch.schema.field("key").type
-            for k, n, w in zip(batch["key"].to_pylist(), batch["n"].to_pylist(), batch["words"].to_pylist()):
-                if size and size + len(w) // 8 > BLOCK_WORDS:
-                    yield full()
-                    block, before = block + 1, before + sum(counts)
-                    keys, counts, words, size = [], [], [], 0
-                keys.append(k)
-                counts.append(n)
-                words.append(w)
-                size += len(w) // 8
-        if keys:
-            yield full()
-
-    schema = f"part int, block int, before long, keys array<{kind}>, counts array<int>, word_at array<int>, words binary"
-    rows.mapInArrow(blocks, schema).write.parquet(path)
+            texts, keys = batch["t"], batch["key"]
+            _, offsets = utf8(texts)
+            for i, j in runs(offsets, BLOCK_BYTES):
+                each = [coder.encode(t) + end for t in texts.slice(i, j - i).to_pylist()]
+                counts = np.array([len(x) // 4 for x in each], np.int64)
+                words, taken = pack(np.frombuffer(b"".join(each), "<u4"), counts)
+                one = pa.array([0, j - i], pa.int32())
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "before": pa.array([before], pa.int64()),
+                    "keys": pa.ListArray.from_arrays(one, keys.slice(i, j - i)), "counts": pa.ListArray.from_arrays(one, pa.array(counts)),
+                    "word_at": pa.ListArray.from_arrays(one, pa.array(np.cumsum(taken) - taken)),
+                    "words": pa.array([words.astype("<u8").tobytes()], pa.binary())})
+                block, before = block + 1, before + int(counts.sum())
+
+    schema = f"part int, block int, before long, keys array<{kind}>, counts array<long>, word_at array<long>, words binary"
+    rows.select("key", "t").mapInArrow(blocks, schema).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
