@@ -4,8 +4,9 @@ Texts and items become lists of words (lower case, runs of letters, digits and c
 contaminated by an item of n words if some passage of it is within edit distance floor(0.2 n) of the whole item, words
 being the symbols.
 
-Windows as long as an item start at every word. A window of which too few words occur in the benchmark at all cannot be
-that close and is passed over (a lossless test). The others are embedded by CGK random walks: a step emits the word under
+Windows as long as an item start at every word. A window with too few pairs and triples of neighbouring words that occur
+in the benchmark at all cannot be that close and is passed over (a lossless test: k edits leave all but 2 k of an item's
+pairs, all but 3 k of its triples, and all but k of its distinct words). The others are embedded by CGK random walks: a step emits the word under
 the pointer and the pointer moves on or stays by a random bit of (step, word), so few edits become few differing
 positions of strings three times as long. Each of several repetitions has its own bits and sampled positions; their number
 follows from the target recall. Windows that share a sample with an item are verified by the exact edit distance.
@@ -32,7 +33,7 @@ from .common import free, mix64, runs, utf8, whole
 RATE = 0.2  # edits for each word of an item
 BLOCK_CHARS = 4 << 20
 SAMPLED = 2  # positions in one sample
-AGREE = 0.5  # least share of equal positions of the embeddings at that edit rate, measured in the tests
+AGREE = 0.66  # share of equal positions of the embeddings of a passage and its item for the best of the windows around it
 PRIME = 0x9E3779B97F4A7C15
 PIECE = 1 << 20
 
@@ -56,12 +57,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         first = inside & (edge[:-1] | ~np.append(False, inside[:-1]))
         last = inside & (edge[1:] | ~np.append(inside[1:], False))
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-        power = np.full(len(b) + 1, PRIME, np.uint64)
-        power[0] = 1
-        power = np.cumprod(power)
-        back = np.full(len(b) + 1, pow(PRIME, -1, 1 << 64), np.uint64)
-        back[0] = 1
-        back = np.cumprod(back)
+        power, back = powers(len(b) + 1)
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * power[:-1])])
         hashes.append(mix64((total[e] - total[s]) * back[s]))
         places.append(s + at)
@@ -71,6 +67,26 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return h, np.searchsorted(where, offsets)
 
 
+def slots(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def neighbours(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the pairs and of the triples of neighbouring words."""
+    pairs = mix64(h[:-1] * np.uint64(PRIME) + h[1:])
+    return pairs, mix64(pairs[:-1] * np.uint64(PRIME) + h[2:])
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of PRIME and of its inverse."""
+    out = []
+    for x in (PRIME, pow(PRIME, -1, 1 << 64)):
+        p = np.full(n, x, np.uint64)
+        p[:1] = 1
+        out.append(np.cumprod(p))
+    return out[0], out[1]
+
+
 def size_class(n: int) -> int:
     return min(n, math.ceil(1.1 ** math.floor(math.log(n + 0.5, 1.1)) - 1e-9)) if n > 10 else n
 
@@ -113,17 +129,19 @@ class Block:
 
     ids: list
     words: list[np.ndarray]
-    known: np.ndarray  # marks of the words that occur
-    classes: list[tuple[int, int, list[tuple[np.ndarray, np.ndarray]]]]  # window, known words it needs, samples
+    known: list[np.ndarray]  # marks of the pairs and of the triples that occur
+    classes: list[tuple]  # window, known pairs, known triples and distinct words it needs, samples by repetition
 
 
 def make_block(ids: list, texts: list[str], least: int, recall: float) -> Block:
     data, offsets = utf8(pa.array(texts, pa.string()))
     h, first = word_hashes(data, offsets)
     words = [h[a:b] for a, b in zip(first, first[1:])]
-    bits = max(16, int(4 + max(len(h), 1)).bit_length() + 4)
-    known = np.zeros(1 << bits, bool)
-    known[(h >> np.uint64(64 - bits)).astype(np.int64)] = True
+    bits = min(24, max(16, len(h).bit_length() + 8))
+    known = [np.zeros(1 << bits, bool) for _ in range(2)]
+    for w in words:
+        for marks, grams in zip(known, neighbours(w)):
+            marks[slots(grams, bits)] = True
     of: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         if len(w) >= least:
@@ -136,26 +154,37 @@ def make_block(ids: list, texts: list[str], least: int, recall: float) -> Block:
             key = sample_keys(h, starts, size, rep)
             order = np.argsort(key, kind="stable")
             samples.append((key[order], np.array(members)[order]))
-        classes.append((size, size - max(int(RATE * len(words[i])) for i in members), samples))
+        most = max(int(RATE * len(words[i])) for i in members)
+        distinct = min(len(np.unique(words[i])) - int(RATE * len(words[i])) - (len(words[i]) - size) for i in members)
+        classes.append((size, max(0, size - 1 - 2 * most), max(0, size - 2 - 3 * most), distinct, samples))
     return Block(ids, words, known, classes)
 
 
 def find(block: Block, h: np.ndarray, first: np.ndarray) -> dict[int, dict[int, tuple[int, int]]]:
     """For each text with hits: item index to (edits, last word of the passage, counted from the text's first)."""
     out: dict[int, dict[int, tuple[int, int]]] = {}
-    bits = len(block.known).bit_length() - 1
-    known = block.known[(h >> np.uint64(64 - bits)).astype(np.int64)]
-    seen = np.concatenate([[0], np.cumsum(known, dtype=np.int32)])
-    spots = np.flatnonzero(known)
-    for size, need, samples in block.classes:
-        if not len(h):
-            break
-        # windows may begin with a changed word, and a text may be shorter than the window
+    bits = len(block.known[0]).bit_length() - 1
+    pairs, triples = (np.cumsum(np.concatenate([[False], marks[slots(grams, bits)], np.zeros(len(h) - len(grams), bool)]), dtype=np.int32)
+                      for marks, grams in zip(block.known, neighbours(h)))
+    power, back = powers(len(h) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[:-1])])
+    for size, need_pairs, need_triples, need_words, samples in block.classes:
+        # grams that begin in a window; a text may be shorter than the window
         stop = np.minimum(np.arange(len(h)) + size, len(h))
-        start = np.flatnonzero(seen[stop] - seen[:-1] >= max(need, 1)) if len(spots) else spots
+        start = np.flatnonzero((pairs[stop] - pairs[:-1] >= need_pairs) & (triples[stop] - triples[:-1] >= need_triples))
+        text = np.searchsorted(first, start, "right") - 1
+        span = start[:, None] + np.arange(size)
+        inside = np.sort(np.where(span < first[text + 1][:, None], h[np.minimum(span, len(h) - 1)], np.uint64(0)), axis=1)
+        enough = 1 + (inside[:, 1:] != inside[:, :-1]).sum(1) >= need_words
+        start, text = start[enough], text[enough]
+        # of windows with equal surroundings in the same text (repeated words, lines), one stands for all
+        reach = 1 + max(int(RATE * len(block.words[i])) * 2 + len(block.words[i]) for i in samples[0][1])
+        lo, hi = np.maximum(start - reach + size, first[text]), np.minimum(start + reach, first[text + 1])
+        around = (total[hi] - total[lo]) * back[lo] ^ mix64((start - lo).astype(np.uint64) << np.uint64(32) ^ text.astype(np.uint64))
+        one = np.unique(around, return_index=True)[1]
+        start, text = start[one], text[one]
         if not len(start):
             continue
-        text = np.searchsorted(first, start, "right") - 1
         found = []
         for rep, (keys, members) in enumerate(samples):
             got = sample_keys(h, start, size, rep)
@@ -164,11 +193,11 @@ def find(block: Block, h: np.ndarray, first: np.ndarray) -> dict[int, dict[int,
             rows = np.repeat(np.arange(len(start)), n)
             at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
             found.append(np.stack([members[at], start[rows], text[rows]], axis=1))
-        pairs = np.concatenate(found)
-        for i in np.unique(pairs[:, 0]):
+        shared = np.concatenate(found)
+        for i in np.unique(shared[:, 0]):
             item = block.words[i]
             k = int(RATE * len(item))
-            mine = pairs[pairs[:, 0] == i]
+            mine = shared[shared[:, 0] == i]
             _, one = np.unique(mine[:, 2] * (len(h) + 1) + mine[:, 1] // (k + 1), return_index=True)
             mine = mine[one]
             reach = np.arange(-2 * k - 1, len(item) + 2 * k + 1)
