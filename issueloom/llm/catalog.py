@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, langid, mixing, mtree, shards, simhash, tokenfile
+from . import decontam, langid, mixing, mtree, pii, shards, simhash, tokenfile, toxicity, warc
 from .common import text_crc32, whole
 
 QUERIES = {}
@@ -119,3 +119,40 @@ FROM scored QUALIFY rank <= 5"""
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mtree.search(table(spark, sf_dir, "embeddings"), F.col("key") % 50 == 0)
     return found.select(F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "score")
+
+
+def toxic_model(spark: SparkSession, sf_dir: str, docs: DataFrame):
+    """The classifier, fitted on labelled rows whose remainder is not 2."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("of"), "toxic").where(text_crc32("doc_id") % 4 != 2)
+    rows = docs.select("doc_id", "text").join(labels, F.col("doc_id") == F.col("of"))
+    return toxicity.fit(rows)
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(text_crc32("doc_id") % 4 == 2, F.lit(False)).alias("held_out")
+    said = toxicity.score(docs.select("doc_id", "text", held), toxic_model(spark, sf_dir, docs))
+    return said.select("doc_id", "held_out", "score", "predicted", F.to_json("toxic_spans").alias("spans"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM m"""
+
+
+@query("op10_warc", WARC_SQL)
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).withColumnRenamed("key", "page_id")
+
+
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), *[f"n_{k}" for k in pii.KINDS],
+                        F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
