@@ -66,7 +66,7 @@ def digits(x: Column) -> Column:
 
 def luhn(number: Column) -> Column:
     """Whether a string of digits passes the check digit."""
-    single = F.transform(F.split(F.reverse(number), "(?!^)"), lambda c: F.ascii(c) - 48)
+    single = F.transform(F.filter(F.split(F.reverse(number), ""), lambda c: c != ""), lambda c: F.ascii(c) - 48)
     doubled = F.transform(single, lambda d, i: F.when(i % 2 == 0, d).otherwise(d * 2 - F.when(d > 4, 9).otherwise(0)))
     return F.aggregate(doubled, F.lit(0), lambda s, d: s + d) % 10 == 0
 
