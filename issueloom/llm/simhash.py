@@ -164,9 +164,9 @@ def keys_of(fps: Column) -> Column:
 
 
 def _shared(rows: DataFrame, node: str) -> DataFrame:
-    """Rows (key, node) whose key has several nodes."""
+    """Rows (key, node) whose key has several nodes. Merged, as sizes after an explode are estimated far too low."""
     several = rows.groupBy("key").agg(F.min(node).alias("lo"), F.max(node).alias("hi")).where("lo <> hi").select("key")
-    return rows.join(several, "key")
+    return rows.join(several.hint("merge"), "key")
 
 
 def components_of(rows: DataFrame, fp: str = "fp") -> DataFrame:
@@ -177,7 +177,7 @@ def components_of(rows: DataFrame, fp: str = "fp") -> DataFrame:
     steps = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
     hubs = near.select("fp", F.explode(steps).alias("step")).select("fp", F.col("fp").bitwiseXOR(F.col("step")).alias("hub"))
     middle = hubs.groupBy("hub").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("hub", "lo")
-    links = hubs.join(middle, "hub").select(F.col("fp").alias("a"), F.col("lo").alias("b"))
+    links = hubs.join(middle.hint("merge"), "hub").select(F.col("fp").alias("a"), F.col("lo").alias("b"))
     return components(links).select(F.col("node").alias("fp"), "root")
 
 
