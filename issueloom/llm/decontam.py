@@ -36,6 +36,7 @@ SAMPLED = 2  # positions in one sample
 AGREE = 0.66  # share of equal positions of the embeddings of a passage and its item for the best of the windows around it
 PRIME = 0x9E3779B97F4A7C15
 PIECE = 1 << 20
+CLASS_BITS = 18
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +131,7 @@ class Block:
     ids: list
     words: list[np.ndarray]
     known: list[np.ndarray]  # marks of the pairs and of the triples that occur
-    classes: list[tuple]  # window, known pairs, known triples and distinct words it needs, samples by repetition
+    classes: list[tuple]  # window; known pairs, triples and distinct words it needs; marks of the class's pairs; samples by repetition
 
 
 def make_block(ids: list, texts: list[str], least: int, recall: float) -> Block:
@@ -156,7 +157,10 @@ def make_block(ids: list, texts: list[str], least: int, recall: float) -> Block:
             samples.append((key[order], np.array(members)[order]))
         most = max(int(RATE * len(words[i])) for i in members)
         distinct = min(len(np.unique(words[i])) - int(RATE * len(words[i])) - (len(words[i]) - size) for i in members)
-        classes.append((size, max(0, size - 1 - 2 * most), max(0, size - 2 - 3 * most), distinct, samples))
+        own = np.zeros(1 << CLASS_BITS, bool)
+        for i in members:
+            own[slots(neighbours(words[i])[0], CLASS_BITS)] = True
+        classes.append((size, max(0, size - 1 - 2 * most), max(0, size - 2 - 3 * most), distinct, own, samples))
     return Block(ids, words, known, classes)
 
 
@@ -168,12 +172,16 @@ def find(block: Block, h: np.ndarray, first: np.ndarray) -> dict[int, dict[int,
                       for marks, grams in zip(block.known, neighbours(h)))
     power, back = powers(len(h) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[:-1])])
-    for size, need_pairs, need_triples, need_words, samples in block.classes:
+    pair_slots = np.append(slots(neighbours(h)[0], CLASS_BITS), 0)
+    for size, need_pairs, need_triples, need_words, own, samples in block.classes:
         # grams that begin in a window; a text may be shorter than the window
         stop = np.minimum(np.arange(len(h)) + size, len(h))
         start = np.flatnonzero((pairs[stop] - pairs[:-1] >= need_pairs) & (triples[stop] - triples[:-1] >= need_triples))
         text = np.searchsorted(first, start, "right") - 1
         span = start[:, None] + np.arange(size)
+        joined = own[pair_slots[np.minimum(span[:, :-1], len(h) - 1)]] & (span[:, 1:] < first[text + 1][:, None])
+        enough = joined.sum(1) >= need_pairs
+        start, text, span = start[enough], text[enough], span[enough]
         inside = np.sort(np.where(span < first[text + 1][:, None], h[np.minimum(span, len(h) - 1)], np.uint64(0)), axis=1)
         enough = 1 + (inside[:, 1:] != inside[:, :-1]).sum(1) >= need_words
         start, text = start[enough], text[enough]
