@@ -204,11 +204,12 @@ def _shingles(text: Column, words: int) -> Column:
 
 
 def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8,
-                tables: int = 6) -> DataFrame:
+                tables: int = 6, rounds: int = 3) -> DataFrame:
     """(node, key, root) for each row: node identifies the exact text (64-bit hash), root the group of near duplicates.
 
-    Bucket members are compared with one of them, chosen anew for each key by a hash; those that do not match it are
-    compared among themselves in the next round until no bucket has two left.
+    Bucket members are compared with one of them, chosen anew for each key by a hash, so a bucket takes as many comparisons
+    as it has members. Those that do not match it meet again in smaller buckets, by a smallest hash of their shingles too.
+    Recall is that of the keys (near copies share dozens) and grows with tables and rounds; the tests measure it.
     """
     rows = cut(df.select(F.col(key).alias("key"), F.xxhash64(whole(text)).alias("node"), word_fingerprints(whole(text), tables).alias("fps")))
     texts = rows.groupBy("node").agg(F.min("key").alias("key"), F.first("fps").alias("fps"))
@@ -219,7 +220,11 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: i
     one = where.join(texts.select("node", "key"), (where["node"] == texts["node"]) & where["key"].eqNullSafe(texts["key"]), "left_semi")
     sets = cut(one.select("node", _shingles(F.col("t"), words).alias("s")))
     edges = None
-    while not open_rows.isEmpty():
+    for r in range(rounds):
+        if r:  # those that don't match the head of their bucket meet again by a smallest shingle hash, another one each time
+            low = sets.select("node", F.array_min(F.transform("s", lambda x: F.xxhash64(x, F.lit(r)))).alias("m"))
+            open_rows = open_rows.join(low.hint("merge"), "node").select(F.xxhash64("key", "m").alias("key"), "node")
+            open_rows = cut(_shared(open_rows, "node"))
         chosen = open_rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node")).alias("m"))
         paired = open_rows.join(chosen.select("key", F.col("m.node").alias("head")), "key").where("node <> head")
         pairs = paired.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
@@ -236,8 +241,6 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: i
         least, most = F.least("node", "head"), F.greatest("node", "head")
         rest = paired.withColumns({"a": least, "b": most}).join(good, ["a", "b"], "left_anti").select("key", "node")
         open_rows = cut(_shared(rest, "node"))
-    if edges is None:
-        return rows.select("node", "key", F.col("node").alias("root"))
     roots = cut(components(edges))
     return rows.select("node", "key").join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
 
