@@ -207,7 +207,7 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: i
                 tables: int = 6, rounds: int = 3) -> DataFrame:
     """(node, key, root) for each row: node identifies the exact text (64-bit hash), root the group of near duplicates.
 
-    Bucket members are compared with one of them, chosen anew for each key by a hash, so a bucket takes as many comparisons
+    Bucket members are compared with the one of smallest hash, mostly the same for all keys of a group, so a bucket takes as many comparisons
     as it has members. Those that do not match it meet again in smaller buckets, by a smallest hash of their shingles too.
     Recall is that of the keys (near copies share dozens) and grows with tables and rounds; the tests measure it.
     """
@@ -225,7 +225,7 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: i
             low = sets.select("node", F.array_min(F.transform("s", lambda x: F.xxhash64(x, F.lit(r)))).alias("m"))
             open_rows = open_rows.join(low.hint("merge"), "node").select(F.xxhash64("key", "m").alias("key"), "node")
             open_rows = cut(_shared(open_rows, "node"))
-        chosen = open_rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node")).alias("m"))
+        chosen = open_rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), "node")).alias("m"))
         paired = open_rows.join(chosen.select("key", F.col("m.node").alias("head")), "key").where("node <> head")
         pairs = paired.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
         left = texts.select(F.col("node").alias("a"), F.col("fps").alias("fa"))
