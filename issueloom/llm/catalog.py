@@ -81,8 +81,8 @@ levels AS (
          / sum(w) OVER (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM sources),
 goals AS (
-  SELECT source, source_size, CASE WHEN level > ratio THEN 2.0::DOUBLE * source_size
-         ELSE least((min(level) FILTER (WHERE level <= ratio) OVER ()) * w, 2.0::DOUBLE * source_size) END AS target FROM levels),
+  SELECT source, source_size, least((SELECT level FROM levels WHERE level <= ratio ORDER BY ratio, source NULLS LAST LIMIT 1) * w,
+                                    2.0::DOUBLE * source_size) AS target FROM levels),
 placed AS (
   SELECT doc_id, size, source_size, target,
          CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs,

@@ -51,12 +51,12 @@ def targets(sizes: DataFrame, weights: list[float], share: float = 1.5, most: fl
     by_ratio = Window.orderBy("ratio", F.col("source").asc_nulls_last())
     before = F.coalesce(F.sum("source_size").over(by_ratio.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rest = F.sum("w").over(by_ratio.rowsBetween(0, Window.unboundedFollowing))
-    all_of = Window.partitionBy()
-    level = (F.lit(share) * F.sum("source_size").over(all_of) - F.lit(most) * before) / rest
+    level = (F.lit(share) * F.sum("source_size").over(Window.partitionBy()) - F.lit(most) * before) / rest
     rows = rows.withColumn("level", level)
-    free_level = F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(all_of)
-    goal = F.when(F.col("level") > F.col("ratio"), F.lit(most) * F.col("source_size")).otherwise(
-        F.least(free_level * F.col("w"), F.lit(most) * F.col("source_size")))
+    # in the order of the ratios, the first source that its level does not cap sets the level of all that are left
+    common = F.first(F.when(F.col("level") <= F.col("ratio"), F.col("level")), ignorenulls=True).over(
+        by_ratio.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    goal = F.least(common * F.col("w"), F.lit(most) * F.col("source_size"))
     return rows.withColumn("target", goal).select("source", "source_size", "target")
 
 
