@@ -77,8 +77,9 @@ def work_order() -> list[Column]:
     return [F.when(lacking, 0).otherwise(1), F.col("importance").desc(), F.col("last_update").desc(), F.col("id")]
 
 
-def work_split(issues: DataFrame, summaries: DataFrame, now: Column, calls_today: Column, s: Settings) -> DataFrame:
-    """Live issues with their state this run: cached, backoff, process or deferred.
+def work_split(issues: DataFrame, summaries: DataFrame, now: Column, calls_today: Column, s: Settings, capped: bool = True) -> DataFrame:
+    """Live issues with their state this run: cached, backoff, process or deferred. Without a costly generator
+    (capped=False) every candidate is processed.
 
     `issues` carries `fact_hash` of the current facts and `calls`, the attempts an issue will take. Only the first
     max_per_run candidates can be processed, so the running call count is a window over that bounded head.
@@ -92,6 +93,9 @@ def work_split(issues: DataFrame, summaries: DataFrame, now: Column, calls_today
     rows = rows.withColumn(
         "_first", F.when(F.coalesce(cached, F.lit(False)), "cached").when(F.coalesce(waiting, F.lit(False)), "backoff").otherwise("candidate")
     )
+    if not capped:
+        state = F.when(F.col("_first") == "candidate", "process").otherwise(F.col("_first"))
+        return rows.withColumn("work_state", state).drop("_first", "_old_hash", "_made")
     head = rows.filter(F.col("_first") == "candidate").orderBy(*work_order()).limit(s.max_per_run)
     before = W.partitionBy(F.lit(0)).orderBy(*work_order()).rowsBetween(W.unboundedPreceding, -1)
     granted = head.withColumn("_before", F.coalesce(F.sum("calls").over(before), F.lit(0)) + calls_today).filter(

@@ -275,7 +275,7 @@ def summarise(state: State, now: Column, s: Settings, generate: Callable[[DataFr
     payload = cut(facts_of(state, s))
     today = L.calls_on(state["runs"], now).scalar()
     rows = state["issues"].join(payload.select(F.col("issue_id").alias("id"), "fact_hash"), "id").withColumn("calls", F.lit(1).cast("long"))
-    work = cut(L.work_split(rows, state["summaries"], now, today, s).select("id", "work_state"))
+    work = cut(L.work_split(rows, state["summaries"], now, today, s, capped=generate is not None).select("id", "work_state"))
     todo = payload.join(work.filter("work_state = 'process'").select(F.col("id").alias("issue_id")), "issue_id", "left_semi")
     out = dict(state)
     templates = Y.template_summary(todo)

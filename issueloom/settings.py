@@ -83,7 +83,7 @@ class Settings:
     # vectors
     dim: int = 384
     vector_prefix: str = "query: "
-    max_vectors_per_run: int = 400
+    max_vectors_per_run: int | None = None  # a limit for costly models; the rest waits for the next run
     # classification
     proto_min: float = 0.35
     # summaries
