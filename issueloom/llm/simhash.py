@@ -9,8 +9,8 @@ six), and every key joins one segment as it is with one codeword index of the ne
 `components_of` links fingerprints exactly: keys name the candidates; among these, two fingerprints differ by two bits
 at most if and only if they share a neighbour at one bit or less, so verified links go through that neighbour and a group
 of n close fingerprints takes O(n) rows instead of all pairs. `near_groups` links whole texts by similarity of word
-shingles: several fingerprints over the set of words, Golay keys of each, candidates compared with changing members of
-their bucket, each pair verified by the Jaccard similarity of its shingles.
+shingles: an exact prefix filter over the shingles names the candidates, which are compared with changing heads of their
+bucket until all are linked or settled, each pair verified by the Jaccard similarity of its shingles.
 
 Null and empty texts have fingerprint zero and link like any other (`components_of`), or form one group of texts without
 words (`near_groups`). Repeated rows are copies. Null keys take no part in a smallest key; a group of null keys only has
@@ -19,6 +19,7 @@ null. Empty tables give empty results, extra columns are left alone. Fingerprint
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -127,24 +128,6 @@ def fingerprint(text: Column, words: int = 3) -> Column:
     return udf(text)
 
 
-def word_fingerprints(text: Column, tables: int) -> Column:
-    """Several independent 64-bit SimHashes over the set of words."""
-
-    @F.arrow_udf("array<long>")
-    def udf(texts: pa.Array) -> pa.Array:
-        out = np.zeros((len(texts), tables), np.int64)
-        for row, text in enumerate(texts.cast(pa.large_binary()).to_pylist()):
-            seen: set[bytes] = set()
-            for piece in word_lists(text):
-                seen.update(piece)
-            h = np.array([xxhash.xxh64_intdigest(x) for x in seen], np.uint64)
-            for t in range(tables):
-                out[row, t] = np.uint64(majority([mix64(h + np.uint64(t * 0x9E3779B97F4A7C15 % 2**64))])).view(np.int64)
-        return pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), tables).cast(pa.list_(pa.int64()))
-
-    return udf(text)
-
-
 def keys_of(fps: Column) -> Column:
     """All Golay keys of an array of fingerprints; the position in the array is part of a key."""
     code = golay_tables()
@@ -191,57 +174,93 @@ def classes(df: DataFrame, text: str = "text", key: str = "doc_id", words: int =
     return rows.join(linked.join(lowest, "root").select("fp", "component"), "fp").select("key", "fp", "component")
 
 
+def _set(text: bytes, words: int) -> np.ndarray:
+    """Sorted 32-bit hashes of the shingles."""
+    parts = [np.unique(h.astype(np.uint32)) for h in shingle_hashes(text, words)]
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint32)
+
+
 def _shingles(text: Column, words: int) -> Column:
+    @F.arrow_udf("array<int>")
+    def udf(texts: pa.Array) -> pa.Array:
+        return pa.array([_set(x, words).view(np.int32) for x in texts.cast(pa.large_binary()).to_pylist()], pa.list_(pa.int32()))
+
+    return udf(text)
+
+
+def _prefixes(text: Column, words: int, similarity: float, often: np.ndarray) -> Column:
+    """The first shingles of each text in one order of all shingles: those of `often` last, in its order, the rest by hash.
+
+    Sets of n shingles and Jaccard similarity t share t n of them at least, so they share one of the first n - ceil(t n) + 1
+    of each, whatever the order. No shingles count as one of their own."""
+    sorting = np.argsort(often, kind="stable")
+    values = often[sorting]
+
     @F.arrow_udf("array<int>")
     def udf(texts: pa.Array) -> pa.Array:
         out = []
         for x in texts.cast(pa.large_binary()).to_pylist():
-            parts = [np.unique(h.astype(np.uint32)) for h in shingle_hashes(x, words)]
-            out.append(np.unique(np.concatenate(parts)).view(np.int32) if parts else np.zeros(0, np.int32))
+            s = _set(x, words)
+            take = len(s) - math.ceil(similarity * len(s) - 1e-9) + 1
+            place = mix64(s.astype(np.uint64)) >> np.uint64(24)
+            if len(values):
+                at = np.minimum(np.searchsorted(values, s), len(values) - 1)
+                place += np.where(values[at] == s, sorting[at] + 1, 0).astype(np.uint64) << np.uint64(40)
+            out.append(s[np.argsort(place, kind="stable")[:take]].view(np.int32) if len(s) else np.zeros(1, np.int32))
         return pa.array(out, pa.list_(pa.int32()))
 
     return udf(text)
 
 
-def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8,
-                tables: int = 6, rounds: int = 3) -> DataFrame:
+def _often(texts: DataFrame, words: int, sampled: int = 20_000) -> np.ndarray:
+    """Shingles of many texts of a sample, rarest first. They only order the shingles; links don't depend on them."""
+    parts = max(1, texts.count() // sampled)
+    some = texts.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(parts)) == 0).dropDuplicates(["node"])
+    counts = some.select(F.explode(_shingles(F.col("t"), words)).alias("x")).groupBy("x").agg(F.count("*").alias("n"))
+    rows = counts.where(F.col("n") >= 20).collect()  # a twentieth of the sample's shingles at most
+    return np.array([r["x"] for r in sorted(rows, key=lambda r: (r["n"], r["x"]))], np.int32).view(np.uint32)
+
+
+def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(node, key, root) for each row: node identifies the exact text (64-bit hash), root the group of near duplicates.
 
-    Bucket members are compared with the one of smallest hash, mostly the same for all keys of a group, so a bucket takes as many comparisons
-    as it has members. Those that do not match it meet again in smaller buckets, by a smallest hash of their shingles too.
-    Recall is that of the keys (near copies share dozens) and grows with tables and rounds; the tests measure it.
+    Texts that share a prefix shingle meet in its bucket. A round compares some heads of each bucket with all members that
+    are not yet linked to them; then the heads and the linked members leave it. There are three rounds.
     """
-    rows = cut(df.select(F.col(key).alias("key"), F.xxhash64(whole(text)).alias("node"), word_fingerprints(whole(text), tables).alias("fps")))
-    texts = rows.groupBy("node").agg(F.min("key").alias("key"), F.first("fps").alias("fps"))
-    keyed = texts.select("node", F.explode(keys_of("fps")).alias("bucket"))
-    open_rows = cut(_shared(keyed.withColumnRenamed("bucket", "key"), "node"))
-    texts = cut(texts.join(open_rows.select("node").distinct(), "node"))
     where = df.select(F.xxhash64(whole(text)).alias("node"), F.col(key).alias("key"), whole(text).alias("t"))
-    one = where.join(texts.select("node", "key"), (where["node"] == texts["node"]) & where["key"].eqNullSafe(texts["key"]), "left_semi")
-    sets = cut(one.select("node", _shingles(F.col("t"), words).alias("s")))
+    first = _prefixes(F.col("t"), words, similarity, _often(where, words))
+    rows = cut(where.select("key", "node", first.alias("keys")))
+    texts = rows.groupBy("node").agg(F.min("key").alias("key"), F.first("keys").alias("keys"))
+    keyed = texts.select("node", F.explode("keys").alias("key"))
+    open_rows = cut(_shared(keyed, "node"))
+    nodes = open_rows.select("node").distinct()
+    texts = cut(texts.select("node", "key").join(nodes, "node"))
+    one = where.join(texts, (where["node"] == texts["node"]) & where["key"].eqNullSafe(texts["key"]), "left_semi")
+    sets = one.select("node", _shingles(F.col("t"), words).alias("s")).dropDuplicates(["node"])
+    sets = cut(sets.withColumn("n", F.size("s")))
+    open_rows = open_rows.join(sets.select("node", "n").hint("merge"), "node")
+    open_rows = cut(open_rows.select("key", "node", "n", F.col("node").alias("root"), F.lit(False).alias("linked")))
     edges = None
-    for r in range(rounds):
-        if r:  # those that don't match the head of their bucket meet again by a smallest shingle hash, another one each time
-            low = sets.select("node", F.array_min(F.transform("s", lambda x: F.xxhash64(x, F.lit(r)))).alias("m"))
-            open_rows = open_rows.join(low.hint("merge"), "node").select(F.xxhash64("key", "m").alias("key"), "node")
-            open_rows = cut(_shared(open_rows, "node"))
-        chosen = open_rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), "node")).alias("m"))
-        paired = open_rows.join(chosen.select("key", F.col("m.node").alias("head")), "key").where("node <> head")
-        pairs = paired.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
-        left = texts.select(F.col("node").alias("a"), F.col("fps").alias("fa"))
-        right = texts.select(F.col("node").alias("b"), F.col("fps").alias("fb"))
-        apart = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        close = pairs.join(left, "a").join(right, "b").where(apart <= int(64 * tables * 0.3)).select("a", "b")
-        close = close.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
-        close = close.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+    for r in range(3):
+        slot = F.pmod(F.xxhash64("node", F.lit(r)), F.lit(1))
+        rank = F.struct((~F.col("linked")).alias("far"), F.xxhash64("node", F.lit(-1)).alias("h"), "node", "n", "root")
+        heads = open_rows.groupBy("key", slot.alias("slot")).agg(F.min(rank).alias("m"))
+        heads = cut(heads.select("key", F.col("m.node").alias("head"), F.col("m.n").alias("hn"), F.col("m.root").alias("hr")))
+        paired = open_rows.join(heads.hint("merge"), "key").where("root <> hr")
+        fits = F.least("n", "hn") >= F.lit(similarity) * F.greatest("n", "hn")
+        pairs = paired.where(fits).select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+        close = cut(pairs).join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
+        close = close.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")).hint("merge"), "b")
         both = F.size(F.array_intersect("sa", "sb"))
         alike = both >= F.lit(similarity) * (F.size("sa") + F.size("sb") - both)
-        good = cut(close.where(alike).select("a", "b").distinct())
-        edges = good if edges is None else edges.unionByName(good)
-        least, most = F.least("node", "head"), F.greatest("node", "head")
-        rest = paired.withColumns({"a": least, "b": most}).join(good, ["a", "b"], "left_anti").select("key", "node")
-        open_rows = cut(_shared(rest, "node"))
-    roots = cut(components(edges))
+        good = close.where(alike).select("a", "b")
+        edges = cut(good if edges is None else edges.unionByName(good))
+        roots = cut(components(edges))
+        done = heads.select("key", F.col("head").alias("node"))
+        rest = open_rows.select("key", "node", "n").join(done.hint("merge"), ["key", "node"], "left_anti")
+        rest = cut(rest.join(roots.hint("merge"), "node", "left").select(
+            "key", "node", "n", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("linked")))
+        open_rows = cut(_shared(rest.where("not linked"), "root"))
     return rows.select("node", "key").join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
 
 

@@ -127,6 +127,35 @@ def test_near_copies(spark, docs, none):
     assert simhash.dedup(none).count() == 0
 
 
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def near_roots(spark, rows):
+    """Groups of the rows found, and by comparing all pairs."""
+    sets = {k: set(zip(*(t.split()[i:] for i in range(5)))) for k, t in rows}
+    want = plain_components([(a, b) for a in sets for b in sets if a <= b and jaccard(sets[a], sets[b]) >= 0.8])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    root = {r["key"]: r["root"] for r in simhash.near_groups(df).collect()}
+    groups = lambda of: sorted(sorted(k for k in of if of[k] == x) for x in set(of.values()))
+    return groups(root), groups(want)
+
+
+def test_near_copies_with_passages_more_or_less(spark):
+    rng = np.random.default_rng(7)
+    rows, n = [], 0
+    for size in (60, 100, 400):
+        for kind in range(3):
+            for i in range(30):
+                w = [f"w{x}" for x in rng.integers(0, 20_000, size)]
+                some = [f"w{x}" for x in rng.integers(0, 20_000, int(0.22 * (size - 4)))]
+                v = (w + some, some + w, w[:int(0.83 * (size - 4)) + 4])[kind]
+                rows += [(n, " ".join(w)), (n + 1, " ".join(v))]
+                n += 2
+    got, want = near_roots(spark, rows)
+    assert len(want) == n // 2 and got == want
+
+
 def test_simple8b():
     rng = np.random.default_rng(4)
     for top in (2, 9, 300, 50_257, 2**33, 2**64 - 1):
