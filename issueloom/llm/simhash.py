@@ -225,7 +225,8 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: i
     """(node, key, root) for each row: node identifies the exact text (64-bit hash), root the group of near duplicates.
 
     Texts that share a prefix shingle meet in its bucket. A round compares some heads of each bucket with all members that
-    are not yet linked to them; then the heads and the linked members leave it. There are three rounds.
+    are not yet linked to them; then the heads leave it, as all their pairs are settled, and the others stay, linked or not.
+    Linked members are heads first: what is close to many ends a bucket early. There are three rounds.
     """
     where = df.select(F.xxhash64(whole(text)).alias("node"), F.col(key).alias("key"), whole(text).alias("t"))
     first = _prefixes(F.col("t"), words, similarity, _often(where, words))
@@ -260,7 +261,7 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: i
         rest = open_rows.select("key", "node", "n").join(done.hint("merge"), ["key", "node"], "left_anti")
         rest = cut(rest.join(roots.hint("merge"), "node", "left").select(
             "key", "node", "n", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("linked")))
-        open_rows = cut(_shared(rest.where("not linked"), "root"))
+        open_rows = cut(_shared(rest, "root"))
     return rows.select("node", "key").join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
 
 

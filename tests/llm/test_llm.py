@@ -141,6 +141,21 @@ def near_roots(spark, rows):
     return groups(root), groups(want)
 
 
+def test_near_copies_of_one_base(spark):
+    rng = np.random.default_rng(5)
+    rows, n = [], 0
+    for size in (10, 30, 200):
+        base = [f"b{size}x{i}" for i in rng.integers(0, 5000, 200)]
+        for v in range(size + 1):
+            w = list(base)
+            for at in rng.choice(np.arange(5, 190, 12), 3, replace=False) if v else ():
+                w[at] = f"v{size}x{v}x{at}"
+            rows.append((n, " ".join(w)))
+            n += 1
+    got, want = near_roots(spark, rows)
+    assert len(want) == 3 and got == want
+
+
 def test_near_copies_with_passages_more_or_less(spark):
     rng = np.random.default_rng(7)
     rows, n = [], 0
