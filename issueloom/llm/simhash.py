@@ -226,13 +226,15 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: i
 
     Texts that share a prefix shingle meet in its bucket. A round compares some heads of each bucket with all members that
     are not yet linked to them; then the heads leave it, as all their pairs are settled, and the others stay, linked or not.
-    Linked members are heads first: what is close to many ends a bucket early. There are three rounds.
+    Linked members are heads first: what is close to many ends a bucket early. Buckets end when all members are linked or
+    settled, and the number of heads grows by rounds, so every pair of the similarity or more is linked, if not by itself
+    then through others.
     """
     where = df.select(F.xxhash64(whole(text)).alias("node"), F.col(key).alias("key"), whole(text).alias("t"))
     first = _prefixes(F.col("t"), words, similarity, _often(where, words))
     rows = cut(where.select("key", "node", first.alias("keys")))
     texts = rows.groupBy("node").agg(F.min("key").alias("key"), F.first("keys").alias("keys"))
-    keyed = texts.select("node", F.explode("keys").alias("key"))
+    keyed = texts.select("node", F.posexplode("keys").alias("pos", "key"))
     open_rows = cut(_shared(keyed, "node"))
     nodes = open_rows.select("node").distinct()
     texts = cut(texts.select("node", "key").join(nodes, "node"))
@@ -240,15 +242,17 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: i
     sets = one.select("node", _shingles(F.col("t"), words).alias("s")).dropDuplicates(["node"])
     sets = cut(sets.withColumn("n", F.size("s")))
     open_rows = open_rows.join(sets.select("node", "n").hint("merge"), "node")
-    open_rows = cut(open_rows.select("key", "node", "n", F.col("node").alias("root"), F.lit(False).alias("linked")))
-    edges = None
-    for r in range(3):
-        slot = F.pmod(F.xxhash64("node", F.lit(r)), F.lit(1))
-        rank = F.struct((~F.col("linked")).alias("far"), F.xxhash64("node", F.lit(-1)).alias("h"), "node", "n", "root")
+    open_rows = cut(open_rows.select("key", "node", "pos", "n", F.col("node").alias("root"), F.lit(False).alias("linked")))
+    edges, r = None, 0
+    while edges is None or not open_rows.isEmpty():
+        slot = F.pmod(F.xxhash64("node", F.lit(r)), F.lit(4 ** max(0, r - 1)))
+        rank = F.struct((~F.col("linked")).alias("far"), F.xxhash64("node", F.lit(-1)).alias("h"), "node", "pos", "n", "root")
         heads = open_rows.groupBy("key", slot.alias("slot")).agg(F.min(rank).alias("m"))
-        heads = cut(heads.select("key", F.col("m.node").alias("head"), F.col("m.n").alias("hn"), F.col("m.root").alias("hr")))
+        heads = cut(heads.select("key", F.col("m.node").alias("head"), F.col("m.pos").alias("hp"), F.col("m.n").alias("hn"), F.col("m.root").alias("hr")))
         paired = open_rows.join(heads.hint("merge"), "key").where("root <> hr")
-        fits = F.least("n", "hn") >= F.lit(similarity) * F.greatest("n", "hn")
+        # in the bucket of their first common shingle, what comes from there on must hold all that they share
+        after = F.least(F.col("n") - F.col("pos"), F.col("hn") - F.col("hp"))
+        fits = after >= F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("hn")) - 1e-6
         pairs = paired.where(fits).select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
         close = cut(pairs).join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
         close = close.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")).hint("merge"), "b")
@@ -258,10 +262,11 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: i
         edges = cut(good if edges is None else edges.unionByName(good))
         roots = cut(components(edges))
         done = heads.select("key", F.col("head").alias("node"))
-        rest = open_rows.select("key", "node", "n").join(done.hint("merge"), ["key", "node"], "left_anti")
+        rest = open_rows.select("key", "node", "pos", "n").join(done.hint("merge"), ["key", "node"], "left_anti")
         rest = cut(rest.join(roots.hint("merge"), "node", "left").select(
-            "key", "node", "n", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("linked")))
+            "key", "node", "pos", "n", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("linked")))
         open_rows = cut(_shared(rest, "root"))
+        r += 1
     return rows.select("node", "key").join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
 
 

@@ -156,6 +156,16 @@ def test_near_copies_of_one_base(spark):
     assert len(want) == 3 and got == want
 
 
+def test_near_copies_in_mixed_buckets(spark):
+    rng = np.random.default_rng(6)
+    words, rows = [f"c{i}" for i in range(100)], []
+    for g in range(60):  # the same words in another order, each with a text one word shorter and one two words shorter
+        w = list(rng.permutation(words))
+        rows += [(3 * g + v, " ".join(w[v:])) for v in range(3)]
+    got, want = near_roots(spark, rows)
+    assert len(want) == 60 and got == want
+
+
 def test_near_copies_with_passages_more_or_less(spark):
     rng = np.random.default_rng(7)
     rows, n = [], 0
