@@ -1,8 +1,8 @@
 """Benchmark decontamination by CGK embedding, bit-sampling LSH and exact edit verification.
 
-Texts and items become lists of words (lower case, runs of letters, digits and characters beyond ASCII). A text is
-contaminated by an item of n words if some passage of it is within edit distance floor(0.2 n) of the whole item, words
-being the symbols.
+Texts and items become lists of words (lower case, runs of letters and digits; in scripts without spaces every character
+is a word; spaces, punctuation and symbols separate, beyond ASCII too). A text is contaminated by an item of n words if some passage of it is within edit distance
+floor(0.2 n) of the whole item, words being the symbols.
 
 Windows as long as an item start at every word. A window with too few pairs and triples of neighbouring words that occur
 in the benchmark at all cannot be that close and is passed over (a lossless test: k edits leave all but 2 k of an item's
@@ -12,8 +12,8 @@ positions of strings three times as long. Each of several repetitions has its ow
 follows from the target recall. Windows that share a sample with an item are verified by the exact edit distance.
 
 Windows come in length classes a tenth apart; an item belongs to the class at or below its length and is verified whole.
-Items of fewer than `least` words occur by chance and are not searched. The benchmark is cut into blocks of bounded size,
-each is sent to the tasks in turn; texts are read once for each block and never shuffled.
+Items of fewer than five words allow no edit and are found by the hash of all their words. The benchmark is cut into
+blocks of bounded size, each is sent to the tasks in turn; texts are read once for each block and never shuffled.
 
 Null and empty texts and items never match. An empty benchmark gives no hits. Repeated items all hit, repeated rows get
 equal hits; extra columns pass through.
@@ -22,6 +22,8 @@ equal hits; extra columns pass through.
 from __future__ import annotations
 
 import math
+import sys
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +41,41 @@ PIECE = 1 << 20
 CLASS_BITS = 18
 
 
+#: Scripts without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han, and their extensions.
+UNSPACED = ((0xE00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x1950, 0x1AB0), (0x2E80, 0x3130), (0x31A0, 0x3200), (0x3400, 0xA4D0),
+            (0xA9E0, 0xAA00), (0xAA60, 0xAAE0), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x16FE0, 0x18D80), (0x1AFF0, 0x1B300), (0x20000, 0x40000))
+
+
+def character_kinds() -> tuple[np.ndarray, np.ndarray]:
+    """First code points of ranges and their kind: 0 separates, 1 is part of a word, 2 is a word."""
+    joins = "\u200c\u200d"
+    kinds = np.array([unicodedata.category(chr(c))[0] in "LMN" or chr(c) in joins for c in range(sys.maxunicode + 1)], np.uint8)
+    for a, b in UNSPACED:
+        kinds[a:b] *= 2
+    starts = np.flatnonzero(np.diff(kinds, prepend=3))
+    return starts.astype(np.int32), kinds[starts]
+
+
+RANGES = character_kinds()
+
+
+def wide_kinds(b: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Bytes of UTF-8 that belong to characters beyond ASCII: 0 where they separate; `begins` is set where one is a word."""
+    out = np.ones(len(b), bool)
+    for low, high, n in ((0xC0, 0xE0, 2), (0xE0, 0xF0, 3), (0xF0, 0xF8, 4)):
+        at = np.flatnonzero((b >= low) & (b < high))
+        at = at[at + n <= len(b)]
+        code = (b[at] & (0x7F >> n)).astype(np.int32)
+        for i in range(1, n):
+            code = code << 6 | (b[at + i] & 0x3F)
+        kind = RANGES[1][np.searchsorted(RANGES[0], code, "right") - 1]
+        for i in range(n):
+            out[at + i] = kind > 0
+        begins[at[kind == 2]] = True
+        begins[at[kind == 2] + n] = True
+    return out
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of all texts, and the index of the first word of each text."""
     kind = np.zeros(256, np.uint8)
@@ -53,6 +90,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         b = kind[data[at:to]]
         inside = b > 0
         edge = np.zeros(len(b) + 1, bool)
+        if (b > 127).any():
+            inside &= wide_kinds(data[at:to], edge)
         cuts = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, to)] - at
         edge[cuts] = True
         first = inside & (edge[:-1] | ~np.append(False, inside[:-1]))
@@ -131,10 +170,19 @@ class Block:
     ids: list
     words: list[np.ndarray]
     known: list[np.ndarray]  # marks of the pairs and of the triples that occur
+    short: dict[int, dict[int, list[int]]]  # items that allow no edit, by number of words and hash
     classes: list[tuple]  # window; known pairs, triples and distinct words it needs; marks of the class's pairs; samples by repetition
 
 
-def make_block(ids: list, texts: list[str], least: int, recall: float) -> Block:
+def joined_hashes(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all windows of n words."""
+    out = np.zeros(max(0, len(h) - n + 1), np.uint64)
+    for i in range(n):
+        out = mix64(out * np.uint64(PRIME) + h[i:i + len(out)])
+    return out
+
+
+def make_block(ids: list, texts: list[str], recall: float) -> Block:
     data, offsets = utf8(pa.array(texts, pa.string()))
     h, first = word_hashes(data, offsets)
     words = [h[a:b] for a, b in zip(first, first[1:])]
@@ -144,9 +192,12 @@ def make_block(ids: list, texts: list[str], least: int, recall: float) -> Block:
         for marks, grams in zip(known, neighbours(w)):
             marks[slots(grams, bits)] = True
     of: dict[int, list[int]] = {}
+    short: dict[int, dict[int, list[int]]] = {}
     for i, w in enumerate(words):
-        if len(w) >= least:
+        if int(RATE * len(w)):
             of.setdefault(size_class(len(w)), []).append(i)
+        elif len(w):
+            short.setdefault(len(w), {}).setdefault(int(joined_hashes(w, len(w))[0]), []).append(i)
     classes = []
     for size, members in sorted(of.items()):
         starts = first[members].astype(np.int64)
@@ -161,12 +212,25 @@ def make_block(ids: list, texts: list[str], least: int, recall: float) -> Block:
         for i in members:
             own[slots(neighbours(words[i])[0], CLASS_BITS)] = True
         classes.append((size, max(0, size - 1 - 2 * most), max(0, size - 2 - 3 * most), distinct, own, samples))
-    return Block(ids, words, known, classes)
+    return Block(ids, words, known, short, classes)
 
 
 def find(block: Block, h: np.ndarray, first: np.ndarray) -> dict[int, dict[int, tuple[int, int]]]:
     """For each text with hits: item index to (edits, last word of the passage, counted from the text's first)."""
     out: dict[int, dict[int, tuple[int, int]]] = {}
+    for n, items in block.short.items():
+        got = joined_hashes(h, n)
+        keys = np.sort(np.array(list(items), np.uint64))
+        at = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, got), len(keys) - 1)] == got)
+        text = np.searchsorted(first, at, "right") - 1
+        inside = at + n <= first[text + 1]
+        at, text = at[inside], text[inside]
+        one = np.unique(np.stack([text.astype(np.uint64), got[at]]), axis=1, return_index=True)[1]  # the first of each in a text
+        for p, t in zip(at[one].tolist(), text[one].tolist()):
+            for i in items[int(got[p])]:
+                out.setdefault(t, {})[i] = (0, p + n - int(first[t]))
+    if not block.classes:
+        return out
     bits = len(block.known[0]).bit_length() - 1
     pairs, triples = (np.cumsum(np.concatenate([[False], marks[slots(grams, bits)], np.zeros(len(h) - len(grams), bool)]), dtype=np.int32)
                       for marks, grams in zip(block.known, neighbours(h)))
@@ -242,7 +306,7 @@ def _searcher(block: Block, kind: str, shape: str):
 
 
 def annotate(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-             least: int = 5, recall: float = 0.99, name: str = "hits") -> DataFrame:
+             recall: float = 0.99, name: str = "hits") -> DataFrame:
     """Adds an array of (item, edits, end): the items found, the edits of the best passage and the word after it."""
     chars = benchmark.agg(F.sum(F.octet_length(whole(item_text)))).first()[0] or 0
     blocks = 1 + chars // BLOCK_CHARS
@@ -253,9 +317,9 @@ def annotate(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str
     items = benchmark.select(F.col(item).alias("i"), F.lower(whole(item_text)).alias("t"))
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("t", "i"), F.lit(blocks)) == b).collect()  # about BLOCK_CHARS
-        block = make_block([r["i"] for r in rows], [r["t"] for r in rows], least, recall)
+        block = make_block([r["i"] for r in rows], [r["t"] for r in rows], recall)
 
-        if block.classes:
+        if block.classes or block.short:
             found.append(_searcher(block, kind, shape)(F.col(lowered)))
     df = df.withColumn(lowered, F.lower(whole(text)))
     return df.withColumn(name, F.concat(*found)).drop(lowered)

@@ -255,6 +255,17 @@ def test_decontamination(spark, docs, none):
     assert decontam.clean(df, bench.limit(0)).count() == 40
 
 
+def test_decontamination_of_short_items_and_other_scripts(spark):
+    items = [(1, "What is 2 + 2?"), (2, "\u6c34\u306e\u5316\u5b66\u5f0f\u306f\u4f55\u3067\u3059\u304b\u3002"), (3, "\u0e19\u0e49\u0e33\u0e40\u0e14\u0e37\u0e2d\u0e14\u0e17\u0e35\u0e48\u0e01\u0e35\u0e48\u0e2d\u0e07\u0e28\u0e32"), (4, "\u4f60\u597d"),
+             (5, 'one "two" three - four five "six" seven eight nine ten'), (6, "???")]
+    rows = [(1, "so: what is 2 plus 2, what is 2 \u2013 2!"), (2, "\u554f\uff1a" + items[1][1].replace("\u4f55", "\u306a") + "\u7b54"), (3, "x " + items[2][1] + "\u0e04\u0e23\u0e31\u0e1a"), (4, "\u4ed6\u8bf4\u4f60\u597d\u5417"),
+            (5, "one \u201ctwo\u201d three\u2014four\u00a0five \u201csix\u201d seven eight other words"), (6, "is 2 what 2"), (7, "\u597d\u4f60"), (8, "what is"), (9, "2 2")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.annotate(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), bench).collect()
+    assert {r["doc_id"]: [h["item"] for h in r["hits"]] for r in got} == {1: [1], 2: [2], 3: [3], 4: [4], 5: [5], 6: [], 7: [], 8: [], 9: []}
+    assert {r["doc_id"]: h["end"] for r in got for h in r["hits"] if h["item"] in (1, 4)} == {1: 10, 4: 4}
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(7)
     v = rng.normal(size=(300, 8)).tolist()
