@@ -55,6 +55,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def files(spark: SparkSession, path: str):
+    """(file system, path) as Spark's own writers see a path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: the lineage ends there, survives lost executors, and later
     stages see the true size of the table and read only the columns they need."""
@@ -64,6 +70,38 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Owner of tables that cut lineage: each is dropped when nothing that is still to run reads it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """Like `cut`; the table belongs to this owner."""
+        path = fresh_path(self.spark, "cut")
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """The table outlives its owner."""
+        self.paths.pop(id(df), None)
+        return df
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Delete tables whose readers have all been written; what is not owned here stays."""
+        for df in tables:
+            _, path = self.paths.pop(id(df), (None, None))
+            if path is not None:
+                fs, at = files(self.spark, path)
+                fs.delete(at, True)
+
+    def close(self) -> None:
+        self.drop(*[df for df, _ in list(self.paths.values())])
+
+
 def widen(df: DataFrame) -> DataFrame:
     """Spread a scan of few splits over all cores before heavy per-row work; a scan of many splits stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
