@@ -193,7 +193,6 @@ def pieces_path() -> str:
 
 @query("op13_sentencepiece")
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = pieces.load(pieces_path())
-    rows = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    rows = pieces.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces.load(pieces_path()))
     return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

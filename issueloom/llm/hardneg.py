@@ -15,7 +15,7 @@ other labels in its window and skips blocks of its label alone. Each group gives
 Rows whose label or vector is null, or whose vector holds null or non-finite components, take no part. Shorter vectors count as
 padded with zeros. Keys may be null (last among equal scores) or repeat: a row is not its own positive, another row
 with its key may be. An anchor without positives or a positive without negatives gives no rows; windows of negative
-scores are empty as 80 s > 100 s. Empty tables give empty results. Scores must fit a long.
+scores are empty as 80 s > 100 s. Empty tables give empty results. Scores must be below 2**62.
 """
 
 from __future__ import annotations
@@ -131,7 +131,7 @@ def numbered(some: DataFrame, each: int) -> tuple[DataFrame, int]:
 
 def best(out: list[tuple], score: np.ndarray, ok: np.ndarray, keys: np.ndarray, rows: np.ndarray, k: int) -> list[tuple[np.ndarray, ...]]:
     """For each row of scores (score, key, row) of the k best where ok, merged with what `out` has."""
-    low = np.iinfo(np.int64).min
+    low = -(1 << 62)  # its negative is a long as well
     score = np.where(ok, score, low)
     if score.shape[1] > 4 * k:
         kth = -np.partition(-score, k - 1, axis=1)[:, k - 1:k]
@@ -170,11 +170,11 @@ def mine(df: DataFrame, anchors: Column, vector: str = "embedding", key: Column
     packing = Packing(size, min(int(about["lowest"] or 0), 0), float(about["longest"]), int(about["sum"]))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(tasks, "label", "row").sortWithinPartitions("label", "row")
-    left, left_groups = numbered(blocks(dealt, packing, size, CANDIDATES), GROUP_CANDIDATES)
+    all_blocks, left_groups = numbered(blocks(dealt, packing, size, CANDIDATES), GROUP_CANDIDATES)
     asked = rows.where(anchors).repartitionByRange(max(1, about["n"] // (64 * ANCHORS)), "label", "row").sortWithinPartitions("label", "row")
     right, right_groups = numbered(blocks(asked, None, size, ANCHORS), GROUP_ANCHORS)
     everywhere = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = left.withColumn("h", everywhere(right_groups))
+    left = all_blocks.withColumn("h", everywhere(right_groups))
     right = right.withColumnRenamed("g", "h").withColumn("g", everywhere(left_groups))
 
     def unpack(block, what=("rows", "keys", "labels", "sums")):
@@ -238,7 +238,7 @@ def mine(df: DataFrame, anchors: Column, vector: str = "embedding", key: Column
                     "lo": pa.array([int(label.min())]), "hi": pa.array([int(label.max())])})
 
     aimed, aimed_groups = numbered(asked.sortWithinPartitions("label", "row").mapInArrow(with_goals, BLOCK.rsplit(",", 1)[0]), GROUP_ANCHORS)
-    left = left.drop("h").withColumn("h", everywhere(aimed_groups))
+    left = all_blocks.withColumn("h", everywhere(aimed_groups))
     aimed = aimed.withColumnRenamed("g", "h").withColumn("g", everywhere(left_groups))
 
     def other_labels(some: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:

@@ -11,8 +11,8 @@ Compatibility of two pieces replays both merge histories by their order and look
 between. Pieces that merging never builds have no history and are no candidates. Characters of no piece are borders and
 become their bytes; a character that occurs in pieces but is none itself is a piece that becomes bytes.
 
-Texts are cut where no piece can cross (before a space after something else, around line ends, between characters that are
-next to each other in no piece), a bounded memo keeps short
+Texts are cut where no piece can cross (before a space after something else, between characters that can share no piece),
+a bounded memo keeps short
 units, and long texts are taken in slices, so memory does not grow with a text beyond its ids. Nothing is shuffled.
 
 Ids are packed as little-endian unsigned 32-bit integers in a binary column. Null texts count as empty, an empty text has the
@@ -38,7 +38,7 @@ from .common import free
 SPACE = "▁"  # fixed value: the format writes a space as this character
 UNIT = 64  # characters of a unit that the memo keeps
 UNITS = 200_000  # units in the memo
-PAIRS = 1 << 20  # compatibility results in the memo
+PAIRS = 1 << 18  # compatibility results in the memo
 SLICE = 1 << 18  # characters taken at once
 
 
@@ -121,6 +121,32 @@ class Pairs(dict):
         return known
 
 
+def unit_pattern(names: list[str]) -> re.Pattern:
+    """Runs of characters that can share a piece, after any spaces; no piece crosses the border of two matches.
+
+    Characters next to each other in some piece belong to one class, and so do their neighbours; a character beside none is
+    a unit of its own."""
+    if any(SPACE in name.lstrip(SPACE) for name in names):
+        return re.compile("(?s).+")
+    of: dict[str, str] = {}
+
+    def top(c: str) -> str:
+        while of.setdefault(c, c) != c:
+            of[c] = of[of[c]]
+            c = of[c]
+        return c
+
+    for name in names:
+        for a, b in zip(name, name[1:]):
+            if a != SPACE:
+                of[top(a)] = top(b)
+    classes: dict[str, list[str]] = {}
+    for c in sorted(of):
+        classes.setdefault(top(c), []).append(c)
+    runs = [f"[{re.escape(''.join(cs))}]+" for cs in sorted(classes.values(), key=len, reverse=True)]
+    return re.compile(f"(?s){SPACE}*(?:{'|'.join([*runs, f'[^{SPACE}]'])})|{SPACE}+")
+
+
 class Encoder(dict):
     """The packed ids of units, remembered for short ones."""
 
@@ -137,26 +163,16 @@ class Encoder(dict):
             self.names.append(char)
             self.packed.append(self.raw(char))
         self.sizes = list(map(len, self.names))
-        self.beside = {pair for name in self.names for pair in zip(name, name[1:])}  # of characters next to each other in a piece
         self.automaton = ahocorasick.Automaton()
         for i, name in enumerate(self.names):
             self.automaton.add_word(name, (i, len(name) - 1))
         self.automaton.make_automaton()
         self.begin, self.end = pack([model.begin]), pack([model.end])
         self.pairs = Pairs(merges, self.names)
-        if any(SPACE in name.lstrip(SPACE) for name in self.names):
-            self.units = re.compile("(?s).+")
-        elif any("\n" in name for name in self.names):
-            self.units = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        else:
-            self.units = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+        self.units = unit_pattern(self.names)
 
     def __missing__(self, unit: str) -> bytes:
-        cuts = [i for i, pair in enumerate(zip(unit, unit[1:]), 1) if pair not in self.beside]
-        if cuts:
-            packed = b"".join([self[unit[i:j]] for i, j in zip([0, *cuts], [*cuts, len(unit)])])
-        else:
-            packed = self.merged(unit)
+        packed = self.merged(unit)
         if len(unit) <= UNIT:
             if len(self) >= UNITS:
                 self.clear()
@@ -187,7 +203,7 @@ class Encoder(dict):
     def slices(self, text: str) -> Iterator[str]:
         """The text with written spaces, cut between units."""
         at = 0
-        edge = re.compile(f"(?<=[^ {SPACE}])[ {SPACE}]") if self.units.pattern[0] != "(" else re.compile("$(?!.)")
+        edge = re.compile("(?!)" if self.units.pattern == "(?s).+" else f"(?<=[^ {SPACE}])[ {SPACE}]")
         while at < len(text):
             found = edge.search(text, at + SLICE)
             stop = found.start() if found else len(text)
@@ -237,6 +253,12 @@ def _patched(data: bytes) -> str:
     return "".join(out)
 
 
+def _mapped(batch: pa.Array, fn, kind: pa.DataType) -> pa.Array:
+    """An Arrow array of fn over the values, built from small pieces, so few Python values live at once."""
+    parts = [pa.array([fn(x.as_py()) for x in batch.slice(i, 256)], kind) for i in range(0, len(batch), 256)]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def ids_of(text: Column, model: Model) -> Column:
     """Packed ids of a text column."""
 
@@ -244,7 +266,7 @@ def ids_of(text: Column, model: Model) -> Column:
     def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(model)
         for batch in batches:
-            yield pa.array([encoder.ids(x.as_py() or "") for x in batch], pa.binary())
+            yield _mapped(batch, lambda x: encoder.ids(x or ""), pa.binary())
 
     return udf(text)
 
@@ -256,11 +278,24 @@ def text_of(ids: Column, model: Model) -> Column:
     def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         decoder = Decoder(model)
         for batch in batches:
-            yield pa.array([decoder.text(x.as_py() or b"") for x in batch], pa.string())
+            yield _mapped(batch, lambda x: decoder.text(x or b""), pa.string())
 
     return udf(ids)
 
 
+def there_and_back(text: Column, model: Model) -> Column:
+    """struct(ids, decoded): packed ids of a text, and the text that these ids decode to, in one pass over the texts."""
+
+    @F.arrow_udf("struct<ids: binary, decoded: string>")
+    def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = Encoder(model), Decoder(model)
+        for batch in batches:
+            ids = _mapped(batch, lambda x: encoder.ids(x or ""), pa.binary())
+            yield pa.StructArray.from_arrays([ids, _mapped(ids, decoder.text, pa.string())], ["ids", "decoded"])
+
+    return udf(text)
+
+
 def encode(df: DataFrame, model: Model, text: str = "text", out: str = "ids") -> DataFrame:
     """All columns and the packed ids of the text."""
     return df.withColumn(free(df, out)[0], ids_of(F.col(text), model))
@@ -269,3 +304,9 @@ def encode(df: DataFrame, model: Model, text: str = "text", out: str = "ids") ->
 def decode(df: DataFrame, model: Model, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns and the text of the packed ids."""
     return df.withColumn(free(df, out)[0], text_of(F.col(ids), model))
+
+
+def round_trip(df: DataFrame, model: Model, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """All columns, the packed ids of the text and the text that they decode to."""
+    ids, out, both = free(df, ids, out, "both")
+    return df.withColumn(both, there_and_back(F.col(text), model)).withColumns({ids: F.col(both)["ids"], out: F.col(both)["decoded"]}).drop(both)
