@@ -123,9 +123,7 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxic_model(spark: SparkSession, sf_dir: str, docs: DataFrame):
     """The classifier, fitted on labelled rows whose remainder is not 2."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("of"), "toxic").where(text_crc32("doc_id") % 4 != 2)
-    rows = docs.select("doc_id", "text").join(labels, F.col("doc_id") == F.col("of"))
-    return toxicity.fit(rows)
+    return toxicity.fit(docs, table(spark, sf_dir, "labels").where(text_crc32("doc_id") % 4 != 2))
 
 
 @query("op9_toxicity")

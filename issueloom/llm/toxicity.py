@@ -17,6 +17,7 @@ Null and empty texts have no word and get the score of documents without evidenc
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,6 @@ from ..session import cut
 from .common import free, whole
 
 WIDTH = 9  # words of a training window
-WINDOWS = 32  # training windows of one sampled text at most
 MEMO = 300_000
 REJECT = 0.3
 FIRM = 5.0  # standard deviations above chance
@@ -128,16 +128,34 @@ def fit_chain(windows: np.ndarray, labels: np.ndarray, n_features: int, rounds:
     return w[:-1], bias, moves
 
 
-def fit(rows: DataFrame, text: str = "text", toxic: str = "toxic", key: str = "doc_id", toxic_rows: int = 4000, clean_rows: int = 8000,
-        n_features: int = 20_000) -> Model:
-    """Learn from rows (text, toxic 0/1). Feature counts and windows of the sample reach the driver, no texts."""
-    good = rows.where(F.col(toxic).isin(0, 1)).select(F.col(toxic).cast("int").alias("y"), whole(text).alias("t"),
-                                                      (F.xxhash64(F.col(key).cast("string"), F.lit(23)) / F.lit(2.0**64) + 0.5).alias("u"))
-    sizes = {r["y"]: r["n"] for r in good.groupBy("y").agg(F.count("*").alias("n")).collect()}
+def sampled(docs: DataFrame, labels: DataFrame, toxic: str, key: str, toxic_rows: int, clean_rows: int) -> tuple[dict[int, int], DataFrame]:
+    """Number of labelled documents of either label, and (id, y) of the sample; only keys and labels are read."""
+    told = labels.where(F.col(toxic).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(toxic).cast("int").alias("y")).distinct()
+    told = cut(told.join(docs.select(F.col(key).alias("id")).distinct(), "id", "left_semi"))
+    sizes = {r["y"]: r["n"] for r in told.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    u = F.xxhash64(F.col("id").cast("string"), F.lit(23)) / F.lit(2.0**64) + 0.5
+    share = F.when(F.col("y") == 1, min(1.0, toxic_rows / sizes.get(1, 1))).otherwise(min(1.0, clean_rows / sizes.get(0, 1)))
+    return sizes, cut(told.where(u <= share))
+
+
+def texts_of(docs: DataFrame, chosen: DataFrame, key: str, text: str, most: int) -> DataFrame:
+    """(id, y, t) of the chosen ids, one row for each id, label and text. A sample within its bound travels to the
+    texts, so they are read where they lie; the hash of a larger one would sort them."""
+    few = chosen.count() <= 2 * most
+    texts = docs.select(F.col(key).alias("id"), whole(text).alias("t")).join(F.broadcast(chosen) if few else chosen, "id")
+    return texts.distinct()
+
+
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", toxic: str = "toxic", key: str = "doc_id", toxic_rows: int = 4000,
+        clean_rows: int = 8000, n_features: int = 20_000, windows_of_text: int = 32) -> Model:
+    """Learn from documents (key, text) and labels (key, toxic 0/1); other labels and null keys are left out, a document with
+    both labels counts for both. The sample is drawn by a hash of the key on the labels alone, about `toxic_rows` and
+    `clean_rows` documents; texts of these only are read. At most `windows_of_text` training windows of each are taken, by a
+    hash over the whole text. Feature counts and windows of the sample reach the driver, no texts."""
+    sizes, chosen = sampled(docs, labels, toxic, key, toxic_rows, clean_rows)
     if not sizes.get(0) or not sizes.get(1):
         return Model({}, -5.0, np.zeros((2, 2)), (0.5, 0.5))
-    share = F.when(F.col("y") == 1, min(1.0, toxic_rows / sizes[1])).otherwise(min(1.0, clean_rows / sizes[0]))
-    sample = cut(good.where(F.col("u") <= share).select("y", "t"))
+    sample = cut(texts_of(docs, chosen, key, text, toxic_rows + clean_rows).select("y", "t"))
     table = spaced()
 
     @F.arrow_udf("array<binary>")
@@ -171,7 +189,10 @@ def fit(rows: DataFrame, text: str = "text", toxic: str = "toxic", key: str = "d
                     v = numbers[j] if 0 <= j < len(words) else []
                     flat += (v + [-1, -1, -1])[:3]
                 taken.append(flat)
-            out.append(taken[:WINDOWS])
+            if len(taken) > windows_of_text:
+                seed = zlib.crc32(x)
+                taken = sorted(taken, key=lambda flat: zlib.crc32(repr(flat).encode(), seed))[:windows_of_text]
+            out.append(taken)
         return pa.array(out, pa.list_(pa.list_(pa.int32())))
 
     got = sample.select("y", F.explode(windows("t")).alias("w")).collect()

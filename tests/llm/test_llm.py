@@ -334,13 +334,13 @@ def test_marginals_equal_enumeration():
 def test_toxicity(spark, docs, none):
     rows = [(i, ("you awful clown go" if i % 5 == 0 else "a kind word for you") + f" w{i % 50} tail", int(i % 5 == 0)) for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    model = toxicity.fit(df)
+    model = toxicity.fit(df.drop("toxic"), df.drop("text"))
     said = toxicity.score(df, model).collect()
     assert all(r["predicted"] == r["toxic"] and 0 <= r["score"] <= 1 for r in said)
     assert {t["text"][s["start"]:s["end"]] for t in said for s in t["toxic_spans"]} <= {"awful", "clown", "go"}
     assert toxicity.clean(docs, model).columns == docs.columns and toxicity.clean(docs, model).count() == len(ROWS)
     assert toxicity.score(none, model).count() == 0
-    assert {r["score"] for r in toxicity.score(docs, toxicity.fit(df.limit(0))).collect()} == {0.5}
+    assert {r["score"] for r in toxicity.score(docs, toxicity.fit(df, df.limit(0))).collect()} == {0.5}
 
 
 def test_archive(spark, tmp_path):
