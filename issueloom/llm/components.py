@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut
+from ..session import Scratch
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -15,8 +15,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     with partial sums; a node with very many edges is no group of one task. Null ends and loops are ignored; no edges
     give an empty table.
     """
+    own = Scratch(edges.sparkSession)
     pairs = edges.select(F.col(a).alias("p"), F.col(b).alias("q")).where("p <> q")
-    links = cut(pairs.select(F.greatest("p", "q").alias("x"), F.least("p", "q").alias("y")).distinct())
+    links = own.cut(pairs.select(F.greatest("p", "q").alias("x"), F.least("p", "q").alias("y")).distinct())
     seen = None
     while True:
         mark = links.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("x", "y")).alias("h")).first()
@@ -29,6 +30,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = links.join(low, "y").select("x", F.col("m").alias("y")).distinct()
         least = large.groupBy("x").agg(F.min("y").alias("m"))
         below = large.join(least, "x").where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
-        links = cut(below.unionByName(least.select("x", F.col("m").alias("y"))).distinct())
+        before, links = links, own.cut(below.unionByName(least.select("x", F.col("m").alias("y"))).distinct())
+        own.drop(before)
     roots = links.select(F.col("y").alias("node"), F.col("y").alias("root")).distinct()
     return links.select(F.col("x").alias("node"), F.col("y").alias("root")).unionByName(roots)

@@ -9,8 +9,9 @@ six), and every key joins one segment as it is with one codeword index of the ne
 `components_of` links fingerprints exactly: keys name the candidates; among these, two fingerprints differ by two bits
 at most if and only if they share a neighbour at one bit or less, so verified links go through that neighbour and a group
 of n close fingerprints takes O(n) rows instead of all pairs. `near_groups` links whole texts by similarity of word
-shingles: an exact prefix filter over the shingles names the candidates, which are compared with changing heads of their
-bucket until all are linked or settled, each pair verified by the Jaccard similarity of its shingles.
+shingles, for which 64 bits say too little: bands of least shingle hashes name the candidates, which are compared with
+changing heads of their bucket until all are linked or settled, each pair verified by the Jaccard similarity of its whole
+shingle sets. A pair at the similarity of 0.8 shares no band with probability 3e-6, a closer one with less.
 
 Null and empty texts have fingerprint zero and link like any other (`components_of`), or form one group of texts without
 words (`near_groups`). Repeated rows are copies. Null keys take no part in a smallest key; a group of null keys only has
@@ -19,7 +20,6 @@ null. Empty tables give empty results, extra columns are left alone. Fingerprint
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -28,7 +28,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import cut
+from ..operators.ordered import spread_join
+from ..session import Scratch, cut
 from .common import free, mix64, unsigned, whole
 from .components import components
 
@@ -174,112 +175,168 @@ def classes(df: DataFrame, text: str = "text", key: str = "doc_id", words: int =
     return rows.join(linked.join(lowest, "root").select("fp", "component"), "fp").select("key", "fp", "component")
 
 
-def _set(text: bytes, words: int) -> np.ndarray:
-    """Sorted 32-bit hashes of the shingles."""
-    parts = [np.unique(h.astype(np.uint32)) for h in shingle_hashes(text, words)]
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint32)
+def _word_hashes(text: bytes) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w, 42) for part in word_lists(text) for w in part], np.uint64)
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """Sorted 64-bit hashes of the different shingles; of the whole sequence if there are fewer words."""
+    h = _word_hashes(text)
+    size = min(words, len(h))
+    if not size:
+        return h
+    total = h[:len(h) - size + 1].copy()
+    for i in range(1, size):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + h[i:len(h) - size + 1 + i]
+    return np.unique(mix64(total))
+
+
+BANDS, ROWS = 24, 4  # texts of similarity 0.8 share no band with probability (1 - 0.8**4)**24 = 3e-6
+
+
+def band_keys(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    """Keys of the bands: each the least values of the shingles under some multiplicative hashes."""
+    low = np.full(len(factors), 0xFFFFFFFF, np.uint32)
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(short), 4096):
+        low = np.minimum(low, (factors[:, None] * short[None, i:i + 4096] + shifts[:, None]).min(1))
+    key = np.arange(BANDS, dtype=np.uint64)
+    for row in low.reshape(BANDS, ROWS).T.astype(np.uint64):
+        key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + row)
+    return key
+
+
+def sketch(text: Column, words: int) -> Column:
+    """struct(n, keys): the number of different shingles and the keys of the bands; texts without words have one key."""
+    rng = np.random.default_rng(17)
+    factors = rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
+    shifts = rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
+
+    @F.arrow_udf("struct<n: int, keys: array<long>>")
+    def udf(texts: pa.Array) -> pa.Array:
+        sizes, keys = [], []
+        for x in texts.cast(pa.large_binary()):
+            s = shingle_set(x.as_py(), words)
+            sizes.append(len(s))
+            keys.append(band_keys(s, factors, shifts).view(np.int64) if len(s) else np.zeros(1, np.int64))
+        return pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))], ["n", "keys"])
+
+    return udf(text)
 
 
 def _shingles(text: Column, words: int) -> Column:
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("array<long>")
     def udf(texts: pa.Array) -> pa.Array:
-        return pa.array([_set(x, words).view(np.int32) for x in texts.cast(pa.large_binary()).to_pylist()], pa.list_(pa.int32()))
+        return pa.array([shingle_set(x.as_py(), words).view(np.int64) for x in texts.cast(pa.large_binary())], pa.list_(pa.int64()))
 
     return udf(text)
 
 
-def _prefixes(text: Column, words: int, similarity: float, often: np.ndarray) -> Column:
-    """The first shingles of each text in one order of all shingles: those of `often` last, in its order, the rest by hash.
+def _jaccard_at_least(a: Column, b: Column, similarity: float) -> Column:
+    """Whether two sorted sets are alike enough; two empty ones are."""
 
-    Sets of n shingles and Jaccard similarity t share t n of them at least, so they share one of the first n - ceil(t n) + 1
-    of each, whatever the order. No shingles count as one of their own."""
-    sorting = np.argsort(often, kind="stable")
-    values = often[sorting]
+    @F.arrow_udf("boolean")
+    def udf(one: pa.Array, two: pa.Array) -> pa.Array:
+        out, left, right = [], one.flatten().to_numpy().view(np.uint64), two.flatten().to_numpy().view(np.uint64)
+        p, q = one.offsets.to_numpy() - one.offsets[0].as_py(), two.offsets.to_numpy() - two.offsets[0].as_py()
+        for i in range(len(one)):
+            x, y = left[p[i]:p[i + 1]], right[q[i]:q[i + 1]]
+            at = np.minimum(np.searchsorted(x, y), max(len(x) - 1, 0))
+            both = int((x[at] == y).sum()) if len(x) else 0
+            out.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+        return pa.array(out, pa.bool_())
 
-    @F.arrow_udf("array<int>")
-    def udf(texts: pa.Array) -> pa.Array:
-        out = []
-        for x in texts.cast(pa.large_binary()).to_pylist():
-            s = _set(x, words)
-            take = len(s) - math.ceil(similarity * len(s) - 1e-9) + 1
-            place = mix64(s.astype(np.uint64)) >> np.uint64(24)
-            if len(values):
-                at = np.minimum(np.searchsorted(values, s), len(values) - 1)
-                place += np.where(values[at] == s, sorting[at] + 1, 0).astype(np.uint64) << np.uint64(40)
-            out.append(s[np.argsort(place, kind="stable")[:take]].view(np.int32) if len(s) else np.zeros(1, np.int32))
-        return pa.array(out, pa.list_(pa.int32()))
+    return udf(a, b)
 
-    return udf(text)
 
+def text_key(text: Column) -> Column:
+    """128 bits that identify a text."""
+    return F.unhex(F.md5(text.cast("binary")))
 
-def _often(texts: DataFrame, words: int, sampled: int = 20_000) -> np.ndarray:
-    """Shingles of many texts of a sample, rarest first. They only order the shingles; links don't depend on them."""
-    parts = max(1, texts.count() // sampled)
-    some = texts.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(parts)) == 0).dropDuplicates(["node"])
-    counts = some.select(F.explode(_shingles(F.col("t"), words)).alias("x")).groupBy("x").agg(F.count("*").alias("n"))
-    rows = counts.where(F.col("n") >= 20).collect()  # a twentieth of the sample's shingles at most
-    return np.array([r["x"] for r in sorted(rows, key=lambda r: (r["n"], r["x"]))], np.int32).view(np.uint32)
 
+def near_texts(df: DataFrame, own: Scratch, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(node, key, root) for each different text: node identifies it (128 bits), key is its smallest, root its group.
 
-def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(node, key, root) for each row: node identifies the exact text (64-bit hash), root the group of near duplicates.
+    Texts that share a band key meet in its bucket. A round compares one head of each bucket, later more, with the members
+    that are not yet linked to it, each pair of texts once, by their whole shingle sets. Linked texts become one root, and
+    the next round works on roots. Heads leave the bucket, as all their pairs are settled; the others stay, linked or not,
+    until all members of a bucket have one root. So every pair of a bucket that is similar enough is linked, if not by itself
+    then through others. A bucket's members are spread over tasks by salt, however many they are.
 
-    Texts that share a prefix shingle meet in its bucket. A round compares some heads of each bucket with all members that
-    are not yet linked to them; then the heads leave it, as all their pairs are settled, and the others stay, linked or not.
-    Linked members are heads first: what is close to many ends a bucket early. Buckets end when all members are linked or
-    settled, and the number of heads grows by rounds, so every pair of the similarity or more is linked, if not by itself
-    then through others.
+    Tables written on the way belong to `own` and go when they have been read.
     """
-    where = df.select(F.xxhash64(whole(text)).alias("node"), F.col(key).alias("key"), whole(text).alias("t"))
-    first = _prefixes(F.col("t"), words, similarity, _often(where, words))
-    rows = cut(where.select("key", "node", first.alias("keys")))
-    texts = rows.groupBy("node").agg(F.min("key").alias("key"), F.first("keys").alias("keys"))
-    keyed = texts.select("node", F.posexplode("keys").alias("pos", "key"))
-    open_rows = cut(_shared(keyed, "node"))
-    nodes = open_rows.select("node").distinct()
-    texts = cut(texts.select("node", "key").join(nodes, "node"))
-    one = where.join(texts, (where["node"] == texts["node"]) & where["key"].eqNullSafe(texts["key"]), "left_semi")
-    sets = one.select("node", _shingles(F.col("t"), words).alias("s")).dropDuplicates(["node"])
-    sets = cut(sets.withColumn("n", F.size("s")))
-    open_rows = open_rows.join(sets.select("node", "n").hint("merge"), "node")
-    open_rows = cut(open_rows.select("key", "node", "pos", "n", F.col("node").alias("root"), F.lit(False).alias("linked")))
-    edges, r = None, 0
-    while edges is None or not open_rows.isEmpty():
-        slot = F.pmod(F.xxhash64("node", F.lit(r)), F.lit(4 ** max(0, r - 1)))
-        rank = F.struct((~F.col("linked")).alias("far"), F.xxhash64("node", F.lit(-1)).alias("h"), "node", "pos", "n", "root")
-        heads = open_rows.groupBy("key", slot.alias("slot")).agg(F.min(rank).alias("m"))
-        heads = cut(heads.select("key", F.col("m.node").alias("head"), F.col("m.pos").alias("hp"), F.col("m.n").alias("hn"), F.col("m.root").alias("hr")))
-        paired = open_rows.join(heads.hint("merge"), "key").where("root <> hr")
-        # in the bucket of their first common shingle, what comes from there on must hold all that they share
-        after = F.least(F.col("n") - F.col("pos"), F.col("hn") - F.col("hp"))
-        fits = after >= F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("hn")) - 1e-6
-        pairs = paired.where(fits).select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
-        close = cut(pairs).join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
-        close = close.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")).hint("merge"), "b")
-        both = F.size(F.array_intersect("sa", "sb"))
-        alike = both >= F.lit(similarity) * (F.size("sa") + F.size("sb") - both)
-        good = close.where(alike).select("a", "b")
-        edges = cut(good if edges is None else edges.unionByName(good))
-        roots = cut(components(edges))
-        done = heads.select("key", F.col("head").alias("node"))
-        rest = open_rows.select("key", "node", "pos", "n").join(done.hint("merge"), ["key", "node"], "left_anti")
-        rest = cut(rest.join(roots.hint("merge"), "node", "left").select(
-            "key", "node", "pos", "n", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("linked")))
-        open_rows = cut(_shared(rest, "root"))
+    where = df.select(text_key(whole(text)).alias("node"), F.col(key).alias("key"), whole(text).alias("t"))
+    rows = own.cut(where.select("key", "node", sketch(F.col("t"), words).alias("s")))
+    texts = rows.groupBy("node").agg(F.min("key").alias("key"), F.any_value("s").alias("s"))
+    texts = own.cut(texts.select(F.monotonically_increasing_id().alias("id"), "node", "key", "s.n", "s.keys"))
+    keyed = texts.select("id", "n", F.explode("keys").alias("bucket"))
+    open_rows = own.cut(_unsettled(keyed.withColumns({"root": F.col("id"), "linked": F.lit(False)})))
+    nodes = open_rows.select("id").distinct()
+    roots = own.cut(nodes.select("id", F.col("id").alias("root")))
+    mine = texts.select("id", F.col("node").alias("of"), F.col("key").alias("first")).join(roots.select("id").hint("merge"), "id")
+    sets = where.join(mine, (where["node"] == F.col("of")) & where["key"].eqNullSafe(F.col("first")))
+    sets = sets.select("id", _shingles(F.col("t"), words).alias("s")).dropDuplicates(["id"])
+    sets = own.cut(sets)
+    r = 0
+    while not open_rows.isEmpty():
+        slot = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(4 ** max(0, r - 1)))
+        # linked ones first, then one order for all buckets, so that a pair meets in many buckets through the same head
+        rank = F.struct((~F.col("linked")).alias("far"), F.xxhash64("root", F.lit(-1)).alias("h"), "id", "n", "root")
+        heads = open_rows.groupBy("bucket", slot.alias("slot")).agg(F.min(rank).alias("m"))
+        heads = own.cut(heads.select("bucket", F.col("m.id").alias("head"), F.col("m.n").alias("hn"), F.col("m.root").alias("hr")))
+        met = _spread(open_rows, heads, "bucket").where("root <> hr")
+        fits = F.least("n", "hn") >= F.lit(similarity) * F.greatest("n", "hn") - 1e-9
+        pairs = own.cut(met.where(fits).select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct())
+        close = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
+        close = close.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")).hint("merge"), "b")
+        good = own.cut(close.where(_jaccard_at_least(F.col("sa"), F.col("sb"), similarity)).select("a", "b"))
+        at = lambda c, name: roots.select(F.col("id").alias(c), F.col("root").alias(name)).hint("merge")
+        new = own.cut(good.join(at("a", "ra"), "a").join(at("b", "rb"), "b").select("ra", "rb").distinct())
+        moved = own.cut(components(new, "ra", "rb").select(F.col("node").alias("root"), F.col("root").alias("to")))
+        before = roots
+        roots = own.cut(_spread(roots, moved, "root", "left").select("id", F.coalesce("to", "root").alias("root")))
+        done = heads.select("bucket", F.col("head").alias("id"))
+        rest = open_rows.drop("root", "linked").join(done.hint("merge"), ["bucket", "id"], "left_anti")
+        rest = rest.join(roots.hint("merge"), "id").withColumn("linked", F.lit(False))
+        rest = own.cut(rest)
+        left = own.cut(_unsettled(_marked(rest, moved)))
+        own.drop(open_rows, heads, pairs, good, new, moved, before, rest)
+        open_rows = left
         r += 1
-    return rows.select("node", "key").join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
+    own.drop(sets, open_rows, rows)
+    return texts.select("id", "node", "key").join(roots.hint("merge"), "id", "left").select("node", "key", F.coalesce("root", "id").alias("root"))
+
+
+def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """(node, key, root) for each row: node identifies the exact text (128 bits), root the group of near duplicates."""
+    named = near_texts(df, Scratch(df.sparkSession), text, key, **options).select("node", "root")
+    return _spread(df.select(text_key(whole(text)).alias("node"), F.col(key).alias("key")), named, "node", by="key")
+
+
+def _spread(many: DataFrame, few: DataFrame, on: str, how: str = "inner", by: str = "id") -> DataFrame:
+    """Join on a column that may have very many rows of one value on the left side: it runs in several tasks."""
+    return spread_join(many, few, [on], how, [by])
+
+
+def _marked(rest: DataFrame, moved: DataFrame) -> DataFrame:
+    """Members whose root has taken others in are heads first."""
+    grown = moved.select(F.col("to").alias("root"), F.lit(True).alias("grown")).distinct()
+    return _spread(rest, grown, "root", "left").withColumn("linked", F.coalesce("grown", F.lit(False))).drop("grown")
+
+
+def _unsettled(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several roots."""
+    several = rows.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+    return _spread(rows, several, "bucket")
 
 
 def dedup(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """One row of each group of near duplicates, the one with the smallest key (nulls last); all columns stay."""
-    groups = near_groups(df, text, key, **options)
-    each = groups.groupBy("root", "node", "key").agg(F.count("*").alias("n"))
-    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node", "n")).alias("m")
-    kept = cut(each.groupBy("root").agg(first).select(
-        F.col("m.node").alias("kept_node"), F.col("m.key").alias("kept_key"), F.col("m.n").alias("copies")))
+    own = Scratch(df.sparkSession)
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("m")
+    kept = own.keep(own.cut(near_texts(df, own, text, key, **options).groupBy("root").agg(first).select(F.col("m.node").alias("kept_node"), F.col("m.key").alias("kept_key"))))
+    own.close()
     (node,) = free(df, "node")
-    rows = df.withColumn(node, F.xxhash64(whole(text)))
+    rows = df.withColumn(node, text_key(whole(text)))
     mine = (F.col(node) == F.col("kept_node")) & F.col(key).eqNullSafe(F.col("kept_key"))
-    single = rows.join(kept.where("copies = 1"), mine, "left_semi")
-    several = rows.join(kept.where("copies > 1"), mine, "left_semi").dropDuplicates([node, key])
-    return single.unionByName(several).select(*df.columns)
+    return rows.join(kept, mine, "left_semi").dropDuplicates([node, key]).select(*df.columns)
