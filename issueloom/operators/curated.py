@@ -53,12 +53,16 @@ def tier_scores(issues: DataFrame) -> DataFrame:
 
 
 def resolved_visuals(items: DataFrame, visuals: DataFrame, key: str = "id") -> DataFrame:
-    """(key, visuals, primary): visuals in listed order; primary is the first chart."""
+    """(key, visuals, primary): visuals in listed order, each with the last values of its chart; primary is the first chart.
+
+    The whole series stays in the table of visuals: it is not copied into every document that shows it.
+    """
     wanted = items.select(key, F.posexplode("visual_ids").alias("pos", "visual_id"))
     # several series: the first one speaks for the chart
     series = F.when(F.size("series") > 0, F.col("series")).otherwise(F.get("series_multi", F.lit(0)))
-    found = spread_join(wanted, visuals.withColumn("_s", series), ["visual_id"], "inner", [key])
-    entry = F.struct("pos", "visual_id", "kind", F.col("_s").alias("series"))
+    told = visuals.select("visual_id", "kind", spark_values(series).alias("spark"))
+    found = spread_join(wanted, told, ["visual_id"], "inner", [key])
+    entry = F.struct("pos", "visual_id", "kind", "spark")
     packed = found.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("visuals"))
     charts = F.filter("visuals", lambda v: F.coalesce(v["kind"], F.lit("chart")) == "chart")
     return packed.withColumn("primary", F.get(charts, F.lit(0)))
@@ -71,7 +75,7 @@ def curated_cards(issues: DataFrame, visuals: DataFrame) -> DataFrame:
     return scored.join(shown, "id", "left").select(
         "id", "title", F.col("title").alias("one_liner"), "impact_line", "category", F.lit("active").alias("status"),
         F.lit("curated").alias("origin"), F.lit(1).cast("long").alias("sources"), "importance", "event_at", "tier",
-        F.col("primary").isNotNull().alias("has_visual"), spark_values(F.col("primary.series")).alias("spark"),
+        F.col("primary").isNotNull().alias("has_visual"), F.col("primary.spark").alias("spark"),
         F.coalesce(emoji, F.lit(DEFAULT_ICON)).alias("icon"), "key_stats", "effect_rows", "details", "visuals",
     )
 

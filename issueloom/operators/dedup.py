@@ -6,11 +6,11 @@ import difflib
 import itertools
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..functions.simhash import hamming
 from ..session import cut
-from .ordered import latest_per_key
+from .ordered import latest_per_key, spread_join
 
 NO_TIME = -(2**40)  # slice of rows without a time
 ANY_TIME = NO_TIME - 1  # stands for "all slices" of one hash
@@ -76,6 +76,38 @@ def band_rows(groups: DataFrame, value: str, k: int, blocks: int, hot: DataFrame
 BAND_KEYS = ["band", "val", "sub", "subval"]
 
 
+PARTS = 32  # of a time slice
+
+
+def _reached(open_: DataFrame, rows: DataFrame, seconds: float) -> DataFrame:
+    """(o) of the questions (po, pt, h, slice, side) which some row of group (h, slice) answers: one before po in the order,
+    and no further than `seconds` from pt. The slice lies on one side of pt, so only one end of the window cuts it.
+
+    Rows of one time count as their first. A slice is cut into parts: in those beyond the bound every row is near enough, so
+    their first row decides; in the part that holds the bound, points and questions are sorted together by the order, and
+    the farthest time so far answers.
+    """
+    width = F.lit(seconds / PARTS)
+    part = lambda t: F.greatest(F.lit(0), F.least(F.lit(PARTS - 1), F.floor((t - F.col("slice") * seconds) / width))).cast("int")
+    asked = open_.select("h", "slice").distinct()
+    points = rows.join(asked.hint("merge"), ["h", "slice"], "left_semi").groupBy("h", "slice", "t").agg(F.min("o").alias("o"))
+    points = cut(points.withColumn("part", part(F.col("t"))))
+    firsts = points.groupBy("h", "slice", "part").agg(F.min("o").alias("o"))
+    firsts = firsts.groupBy("h", "slice").agg(F.collect_list(F.struct("part", "o")).alias("firsts"))  # at most PARTS
+    known = spread_join(open_, firsts, ["h", "slice"], "inner", ["po"])
+    known = known.withColumn("bound", F.col("pt") + F.col("side") * seconds).withColumn("part", part(F.col("bound")))
+    beyond = lambda e: (F.signum(F.col("part") - e["part"]) == F.col("side")) & (e["o"] < F.col("po"))
+    known = cut(known.select("h", "slice", "part", "po", "side", "bound", F.exists("firsts", beyond).alias("sure"),
+                             F.exists("firsts", lambda e: (e["part"] == F.col("part")) & (e["o"] < F.col("po"))).alias("maybe")))
+    doubt = known.filter(~F.col("sure") & F.col("maybe")).select("h", "slice", "part", "side", F.col("po").alias("o"), F.lit(None).cast("double").alias("t"), "bound")
+    sides = F.explode(F.array(F.lit(-1), F.lit(1)))
+    both = points.select("h", "slice", "part", sides.alias("side"), "o", "t", F.lit(None).cast("double").alias("bound")).unionByName(doubt)
+    before = W.partitionBy("h", "slice", "part", "side").orderBy("o").rowsBetween(W.unboundedPreceding, W.currentRow)
+    told = both.withColumn("far", F.when(F.col("side") < 0, F.max("t").over(before)).otherwise(-F.min("t").over(before)))
+    answered = told.filter(F.col("bound").isNotNull() & (F.col("far") >= -F.col("side") * F.col("bound"))).select("o")
+    return known.filter("sure").select(F.col("po").alias("o")).unionByName(answered).distinct()
+
+
 def mark_near_duplicates(
     df: DataFrame,
     hash_col: str,
@@ -84,7 +116,6 @@ def mark_near_duplicates(
     k: int = 3,
     window_h: int = 48,
     blocks: int | None = None,
-    salts: int = 32,
     hot_limit: int = 2_000,
 ) -> DataFrame:
     """Add `is_dup`: some row before this one in `order_col` has a hash within k bits, and the two times are at
@@ -96,8 +127,8 @@ def mark_near_duplicates(
     1. Rows collapse to groups (hash, time slice of one window). Only the first row of a group can be free of a
        duplicate inside its own group, all later ones are marked without any pair.
     2. The first rows look for earlier groups in the own and the neighbouring slices through band keys.
-    3. A neighbouring group whose first row is earlier but too far in time is decided on its rows, which are
-       spread over `salts` tasks.
+    3. A neighbouring group whose first row is earlier but too far in time is decided on its later rows, by an as-of
+       search: nothing is paired, each open question travels once.
     """
     usable = df.filter(F.col(hash_col).isNotNull())
     seconds = F.lit(window_h * 3600)
@@ -143,20 +174,11 @@ def mark_near_duplicates(
         # inside one slice everything is near, so only the slices on both sides can be undecided
         beside = probes.filter((F.col("seek") == F.col("ps") - 1) | (F.col("seek") == F.col("ps") + 1))
         pending = beside.join(free.select(F.col("o").alias("po")), "po", "left_semi")
-        open_ = (
-            pending.join(held, [*BAND_KEYS, "seek"]).filter(earlier & ~near)
-            .select("po", "pt", F.col("th").alias("h"), F.col("seek").alias("slice")).distinct()
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        )
-        spread = rows.filter(F.col("t").isNotNull()).withColumn(
-            "salt", F.pmod(F.xxhash64("o"), F.lit(salts)).cast("int")
-        )
-        late = (
-            spread.join(open_.hint("merge"), ["h", "slice", "salt"])
-            .filter((F.col("o") < F.col("po")) & (F.abs(F.col("t") - F.col("pt")) <= seconds))
-            .select(F.col("po").alias("o"))
-            .distinct()
-        )
+        open_ = pending.join(held, [*BAND_KEYS, "seek"]).filter(earlier & ~near).select(
+            "po", "pt", F.col("th").alias("h"), F.col("seek").alias("slice"),
+            F.when(F.col("seek") < F.col("ps"), -1).otherwise(1).alias("side")
+        ).distinct()
+        late = _reached(cut(open_), rows.filter(F.col("t").isNotNull()), window_h * 3600.0)
         free = free.join(late, "o", "left_anti")
     free = free.select(F.col("o").alias(order_col), F.lit(False).alias("_dup"))
     return df.join(free, order_col, "left").withColumn(

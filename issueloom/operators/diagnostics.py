@@ -79,16 +79,28 @@ def newest_runs(log: DataFrame, n: int = 20) -> DataFrame:
     return log.orderBy(F.col("at").desc(), F.col("run_id").desc()).limit(n)
 
 
-def run_metadata(issues: DataFrame, articles: DataFrame, calls: DataFrame, reviews: DataFrame, thresholds: dict) -> DataFrame:
-    """One row: status counts, article counts, calls of the day, review queue size, thresholds."""
+def run_metadata(issues: DataFrame, articles: DataFrame, calls: DataFrame, reviews: DataFrame, thresholds: dict,
+                 log: DataFrame | None = None, now: Column | None = None, current: dict | None = None, kept: int = 20) -> DataFrame:
+    """One row: status counts, article counts, calls of the day, review queue size, thresholds, and the run log, newest first.
+
+    `log` is (run_id, at, stats) and gives its newest `kept` runs; the counts of a cycle that is not in it yet stand in front.
+    """
     by_status = status_counts(issues).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n")))).alias("issue_counts")
     )
     arts = article_counts(articles).select(F.struct("*").alias("article_counts"))
+    entry = "struct<at:timestamp,stats:string>"
+    history = F.array().cast(f"array<{entry}>")
+    if log is not None:
+        newest = newest_runs(log, kept).agg(F.collect_list(F.struct("at", "run_id", F.col("stats").cast("string").alias("stats"))).alias("l"))
+        history = newest.select(F.transform(F.sort_array("l", asc=False), lambda r: F.struct(r["at"].alias("at"), r["stats"].alias("stats")))).scalar()
+    if current is not None:
+        history = F.concat(F.array(F.struct(now.alias("at"), F.lit(str(current)).alias("stats"))), history)
     return arts.select(
         "article_counts",
         by_status.scalar().alias("issue_counts"),
         calls.select(F.max("calls")).scalar().alias("calls_today"),
         reviews.agg(F.count(F.lit(1))).scalar().alias("review_queue"),
         F.struct(*[F.lit(v).alias(k) for k, v in thresholds.items()]).alias("thresholds"),
+        history.alias("history"),
     )

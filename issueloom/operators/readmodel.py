@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import display_number, hangul_share, hanja_to_hangul, is_foreign, or_empty
+from ..functions.text import display_number, glossary_terms, hangul_share, hanja_to_hangul, is_foreign, or_empty
 from ..settings import AUXILIARY_METRIC, CATEGORY_ICONS, DEFAULT_ICON
+from .glossary import union_terms
 from .lifecycle import LIVE
 from .ordered import spread_join, top_n
 from .summary import ordered_list
@@ -162,6 +163,36 @@ def details(card_rows: DataFrame, lists: tuple[DataFrame, DataFrame, DataFrame],
     return out.join(s, "id", "left").join(links, "id", "left")
 
 
+TERM = "array<struct<term:string,easy:string,example:string>>"
+
+
+def with_glossary(rows: DataFrame, summaries: DataFrame, surfaces: dict[str, str], entries: dict[str, tuple[str, str]]) -> DataFrame:
+    """Details with `glossary`: reviewed terms found in the title, the line, the reason and the paragraphs, then generated ones
+    under new names. `entries` maps a term to (easy, example); both dictionaries are configuration."""
+    told = summaries.select(F.col("issue_id").alias("id"), F.col("glossary").cast(TERM).alias("_generated"))
+    text = F.array_join(F.filter(F.concat(F.array(or_empty("title"), or_empty("one_liner"), or_empty("why_now")),
+                                          F.coalesce("details", F.array().cast("array<string>"))), lambda p: or_empty(p) != ""), " ")
+    known = {t: e for t, e in entries.items() if t in set(surfaces.values())}
+    pairs = [x for t, (easy, example) in known.items() for x in (F.lit(t), F.struct(F.lit(easy).alias("easy"), F.lit(example).alias("example")))]
+    found = F.array().cast(TERM)
+    if pairs:
+        table = F.create_map(*pairs)
+        found = F.transform(F.filter(glossary_terms(text, surfaces), lambda t: F.map_contains_key(table, t)), lambda t: F.struct(
+            t.alias("term"), F.element_at(table, t)["easy"].alias("easy"), F.element_at(table, t)["example"].alias("example")))
+    joined = rows.join(told, "id", "left")
+    generated = F.transform(F.coalesce("_generated", F.array().cast(TERM)), lambda g: F.struct(
+        F.trim(or_empty(g["term"])).alias("term"), or_empty(g["easy"]).alias("easy"), or_empty(g["example"]).alias("example")))
+    return joined.withColumn("glossary", union_terms(found, generated)).drop("_generated")
+
+
+def with_visual(rows: DataFrame, charts: DataFrame) -> DataFrame:
+    """Details with `visual`, the chart that the card announces: one that its consistency rule refused is absent here too."""
+    shown = charts.select(F.col("issue_id").alias("id"), F.struct(
+        *[c for c in ("visual_type", "chart", "unit", "source", "series", "groups") if c in charts.columns]).alias("_visual"))
+    joined = rows.join(shown, "id", "left")
+    return joined.withColumn("visual", F.when(F.col("has_visual"), F.col("_visual"))).drop("_visual")
+
+
 def publishable(issues: DataFrame, summaries: DataFrame, anchors: DataFrame, sources: DataFrame) -> DataFrame:
     """Issues with `publish`: generated summary, else readable title, else some economic signal, else 2 sources."""
     s = summaries.select(F.col("issue_id").alias("id"), F.col("title").alias("_title"), F.col("model").alias("_model"))
@@ -221,13 +252,14 @@ def live_refs(paragraphs: DataFrame, issues: DataFrame) -> DataFrame:
     live = issues.filter(F.col("status").isin(*LIVE))
     ids = live.select(F.col("id").alias("_id")).distinct()
     anchors = live.filter(F.col("anchor_key").isNotNull()).groupBy("anchor_key").agg(F.min("id").alias("_by_anchor"))
-    refs = paragraphs.select("topic", "pos", "text", F.posexplode("refs").alias("n", "r"))
+    # phrases are looked for where the paragraph lies; its text is neither repeated for each reference nor shuffled for them
+    told = F.filter("refs", lambda r: (or_empty(r["phrase"]) != "") & F.col("text").contains(r["phrase"]))
+    refs = paragraphs.select("topic", "pos", F.posexplode(told).alias("n", "r"))
     refs = refs.withColumn("anchor_key", F.col("r.anchor_key"))
     refs = spread_join(refs, anchors, ["anchor_key"], "left", ["topic", "pos", "n"])
-    refs = refs.withColumn("issue_id", F.coalesce("r.issue_id", "_by_anchor")).join(
+    good = refs.withColumn("issue_id", F.coalesce("r.issue_id", "_by_anchor")).join(
         ids, F.col("issue_id") == F.col("_id"), "left_semi"
     )
-    good = refs.filter((or_empty("r.phrase") != "") & F.col("text").contains(F.col("r.phrase")))
     kept = good.groupBy("topic", "pos").agg(
         F.array_sort(F.collect_list(F.struct("n", F.col("r.phrase").alias("phrase"), "issue_id"))).alias("refs")
     )
@@ -246,14 +278,50 @@ def orphaned(published: DataFrame, live: DataFrame, key: str = "id") -> DataFram
     return published.join(live.select(key), key, "left_anti")
 
 
+def topic_documents(topics: DataFrame, paragraphs: DataFrame, issues: DataFrame, charts: DataFrame | None = None) -> DataFrame:
+    """Steady topics as published: (id, pos, icon, title, one_liner, status_note, impact, table, visual, latest_issue, detail).
+
+    `topics` is (id, pos, icon, title, one_liner, status_note, impact array, columns array, cells array of arrays, visual_type,
+    rule array of at most one struct(categories, keywords, entities, issue_id, anchor_key)); rows without id or title are left out.
+    `paragraphs` is (topic, pos, text, refs) and keeps only references whose phrase occurs and whose issue is live. `issues` carry
+    event_at and summary_title. Topics are curated by hand; all their rules are tested in one pass over the issues.
+    """
+    usable = topics.filter((or_empty("id") != "") & (or_empty("title") != ""))
+    rules = [{"rule_id": r["id"], **{k: v for k, v in r["rule"][0].asDict().items() if v}}
+             for r in usable.filter(F.size("rule") > 0).select("id", "rule").collect()]  # configuration, a row a topic
+    out = usable.select(
+        "id", "pos", "icon", "title", or_empty("one_liner").alias("one_liner"), "status_note", "visual_type",
+        F.filter(F.coalesce("impact", F.array().cast("array<string>")), lambda x: F.trim(or_empty(x)) != "").alias("impact"),
+        F.struct("columns", table_rows("columns", "cells").alias("rows")).alias("_table"))
+    out = out.withColumn("table", F.when(F.col("_table.rows").isNotNull(), F.col("_table"))).drop("_table")
+    if rules:
+        latest = latest_match(rules, issues).select(F.col("rule_id").alias("id"), F.struct(
+            F.col("id"), hanja_to_hangul("canonical_title").alias("title"), "last_update").alias("latest_issue"))
+        out = out.join(latest, "id", "left")
+    else:
+        out = out.withColumn("latest_issue", F.lit(None).cast("struct<id:string,title:string,last_update:timestamp>"))
+    lines = live_refs(paragraphs, issues).groupBy(F.col("topic").alias("id")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "text", "refs"))).alias("_l"))
+    shown = F.transform("_l", lambda x: F.struct(x["text"].alias("text"), F.transform(
+        x["refs"], lambda r: F.struct(r["phrase"].alias("phrase"), r["issue_id"].alias("issue_id"))).alias("refs")))
+    out = out.join(lines, "id", "left").withColumn("detail", shown).drop("_l")
+    if charts is None:
+        return out.withColumn("visual", F.lit(None).cast("string")).drop("visual_type")
+    return out.join(charts.select("visual_type", F.struct(*charts.columns).alias("visual")), "visual_type", "left").drop("visual_type")
+
+
 def index_document(cards: DataFrame, now: Column, attribution: str, topics: DataFrame | None = None) -> DataFrame:
-    """One row: version, time, the published cards in rank order (at most the 200 of the feed) and the topics."""
+    """One row: version, time, sources named, the published cards in rank order (at most the 200 of the feed) and the topics in
+    their own order (`pos`). Both lists are bounded: the feed by its limit, topics as they are written by hand."""
     order = F.struct(F.when(F.col("status") == "active", 0).otherwise(1).alias("s"), (-F.col("importance")).alias("i"),
                      (-F.unix_micros("last_update")).alias("u"), F.col("id").alias("d"))
     packed = F.array_sort(F.collect_list(F.struct(order.alias("o"), F.to_json(F.struct(*cards.columns)).alias("card"))))
     listed = F.lit(None).cast("array<string>")
     if topics is not None:
-        listed = topics.agg(F.collect_list(F.to_json(F.struct(*topics.columns)))).scalar()
+        place = F.struct(F.col("pos").alias("p"), F.col("id").alias("d")) if "pos" in topics.columns else F.struct(F.col("id").alias("d"))
+        document = F.to_json(F.struct(*[c for c in topics.columns if c != "pos"]))
+        one = topics.agg(F.array_sort(F.collect_list(F.struct(place.alias("o"), document.alias("t")))).alias("l"))
+        listed = one.select(F.transform("l", lambda x: x["t"])).scalar()
     return cards.agg(F.transform(packed, lambda x: x["card"]).alias("issues")).select(
         F.lit(SCHEMA_VERSION).alias("schema_version"), now.alias("generated_at"), F.lit(attribution).alias("attribution"), "issues",
         listed.alias("topics"))

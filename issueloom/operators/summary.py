@@ -238,6 +238,14 @@ def upsert_summaries(stored: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def review_rows(checked: DataFrame, at: Column) -> DataFrame:
+    """Review queue: why a text was refused, with all attempts where they are known."""
+    told = [c for c in ("errors", "attempts") if c in checked.columns]
     return rejected(checked).select(
-        "issue_id", F.to_json(F.struct(F.lit("template fallback").alias("summary"), "errors")).alias("reason"), at.alias("at")
+        "issue_id", F.to_json(F.struct(F.lit("template fallback").alias("summary"), *told)).alias("reason"), at.alias("at")
     )
+
+
+def review_listing(reviews: DataFrame) -> DataFrame:
+    """(issue_id, at, reason) of the queue, newest first, the reason's own words where it is a document."""
+    said = F.from_json("reason", "summary string")["summary"]
+    return reviews.select("issue_id", "at", F.coalesce(said, F.col("reason")).alias("reason")).orderBy(F.col("at").desc(), "issue_id")

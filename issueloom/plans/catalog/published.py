@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ...operators import curated as N, readmodel as R
 from ...operators.dedup import distinct_sources
+from ...session import cut
 from . import query, table
-from .views import ANCHORS, ARTICLES, ISSUES, SUMMARIES, TIMELINE, anchors, articles, issues, summaries, timeline
+from .views import ANCHORS, ARTICLES, ISSUES, SUMMARIES, TIMELINE, anchors, articles, issues, now, summaries, timeline
 
 NEWEST = f"""
 {ANCHORS},
@@ -34,15 +35,13 @@ pts AS (SELECT o_orderpriority AS series_id, date_trunc('month', o_orderdate) AS
 
 
 def _series(spark, sf):
-    """Month-end series per order priority as lists of (t, v); a year of months is what a chart shows."""
-    from ...operators.ordered import top_n
+    """Month-end series per order priority as lists of (t, v)."""
     from ...operators.series import month_end
 
     o = table(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("series_id"), F.col("o_orderdate").cast("timestamp").alias("ts"),
         F.col("o_totalprice").alias("value"), F.col("o_orderkey").alias("tie"))
-    recent = top_n(month_end(o), ["series_id"], [F.col("month").desc()], 12)
-    return recent.groupBy("series_id").agg(F.array_sort(F.collect_list(
+    return month_end(o).groupBy("series_id").agg(F.array_sort(F.collect_list(
         F.struct(F.date_format("month", "yyyy-MM").alias("t"), F.round(F.col("value") / 10000, 2).alias("v")))).alias("series"))
 
 
@@ -180,9 +179,23 @@ def detail(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join(F.transform("anchors", lambda x: F.concat(x["entity"], x["metric"], x["period"])), ",").alias("anchors"))
 
 
+@query("detail_glossary", f"""
+WITH {SUMMARIES}, n AS (SELECT issue_id, title, CAST(substr(issue_id, 2) AS BIGINT) AS c FROM summaries)
+SELECT issue_id AS id, CASE WHEN title <> '' THEN '요약=short|' ELSE '' END || '한 줄=line|why=reason' || CASE WHEN c % 2 = 0 THEN '' ELSE '|extra' || (c % 5) || '=made' END AS terms FROM n""")
+def detail_glossary(spark: SparkSession, sf: str) -> DataFrame:
+    """Terms of each detail document: reviewed ones in the order of the text, then generated ones under new names."""
+    c = F.substring("issue_id", 2, 20).cast("long")
+    made = F.when(c % 2 == 0, " Why").otherwise(F.concat(F.lit("extra"), (c % 5).cast("string")))
+    told = summaries(spark, sf).withColumn("glossary", F.array(F.struct(made.alias("term"), F.lit("made").alias("easy"), F.lit("").alias("example"))))
+    rows = told.select(F.col("issue_id").alias("id"), "title", "one_liner", "why_now", F.array(F.lit("and the why of it")).alias("details"))
+    surfaces = {"요약": "요약", "한 줄": "한 줄", "why": "why", "nowhere": "gone"}
+    found = R.with_glossary(rows, told, surfaces, {"요약": ("short", ""), "한 줄": ("line", "x"), "why": ("reason", "")})
+    return found.select("id", F.array_join(F.transform("glossary", lambda g: F.concat(g["term"], F.lit("="), g["easy"])), "|").alias("terms"))
+
+
 PUBLISH = f"""
 {ISSUES}, {SUMMARIES}, {ANCHORS}, {ARTICLES},
-ca AS (SELECT issue_id, count(*) AS n FROM anchors WHERE trust = 'official' AND unit = '%' AND value > 40 GROUP BY 1),
+ca AS (SELECT issue_id, count(*) AS n FROM anchors GROUP BY 1),
 cs AS (SELECT issue_id, count(DISTINCT source) AS n FROM articles WHERE NOT is_dup AND issue_id IS NOT NULL GROUP BY 1),
 g AS (SELECT i.*, s.model, CASE WHEN coalesce(s.title, '') <> '' THEN s.title ELSE canonical_title END AS shown, coalesce(ca.n, 0) AS na, coalesce(cs.n, 0) AS ns
   FROM issues i LEFT JOIN summaries s ON s.issue_id = i.id LEFT JOIN ca ON ca.issue_id = i.id LEFT JOIN cs ON cs.issue_id = i.id),
@@ -193,8 +206,7 @@ pub AS (SELECT *, CASE WHEN coalesce(model, '') NOT IN ('', 'template') THEN tru
 
 
 def _publishable(spark, sf):
-    a = anchors(spark, sf).filter("trust = 'official' AND unit = '%' AND value > 40")
-    return R.publishable(issues(spark, sf), summaries(spark, sf), a, distinct_sources(articles(spark, sf)))
+    return R.publishable(issues(spark, sf), summaries(spark, sf), anchors(spark, sf), distinct_sources(articles(spark, sf)))
 
 
 @query("publish_gate", f"WITH {PUBLISH} SELECT id, publish FROM pub")
@@ -268,13 +280,12 @@ def index_doc(spark: SparkSession, sf: str) -> DataFrame:
     """The index document: the first 200 of the ranked feed that may be published, in order."""
     from ...operators.lifecycle import ranked_feed
 
-    feed = ranked_feed(_publishable(spark, sf))
-    key = F.struct(F.when(F.col("status") == "active", 0).otherwise(1).alias("s"), (-F.col("importance")).alias("i"),
-                   (-F.unix_micros("last_update")).alias("u"), "id")
-    packed = F.array_sort(F.collect_list(F.when(F.col("publish"), key)))
-    return feed.agg(
-        F.lit(R.SCHEMA_VERSION).alias("schema_version"), F.count_if("publish").alias("issues"),
-        F.count_if(~F.col("publish")).alias("thin_skipped"), F.array_join(F.transform(packed, lambda k: k["id"]), ",").alias("ids"))
+    feed = cut(ranked_feed(_publishable(spark, sf)).select("id", "status", "importance", "last_update", "publish"))
+    shown = R.index_document(feed.filter("publish").drop("publish"), now(), "sources of the tables")
+    thin = feed.agg(F.count_if(~F.col("publish"))).scalar()
+    return shown.select(
+        "schema_version", F.size("issues").cast("long").alias("issues"), thin.alias("thin_skipped"),
+        F.array_join(F.transform("issues", lambda c: F.get_json_object(c, "$.id")), ",").alias("ids"))
 
 
 @query("orphan_details", f"""
@@ -315,17 +326,14 @@ def _curated(spark, sf):
 
 
 def _visuals(spark, sf):
-    """Brands are charts, sizes are tables; a chart's series are the first prices of the brand."""
-    from ...operators.ordered import top_n
-
+    """Brands are charts, sizes are tables; a chart's series are the prices of the brand."""
     p = table(spark, sf, "part")
     point = F.struct(F.col("p_partkey").cast("string").alias("t"), F.col("p_retailprice").alias("v"))
-    some = top_n(p, ["p_brand"], [F.col("p_partkey")], 10)
     none = F.array().cast("array<struct<t:string,v:double>>")
-    packed = F.array_sort(F.collect_list(F.struct("rn", point.alias("x"))))
+    packed = F.array_sort(F.collect_list(F.struct("p_partkey", point.alias("x"))))
     points = F.transform("_p", lambda x: x["x"])
     odd = F.substring("p_brand", -1, 1).isin("1", "3", "5", "7", "9")
-    brands = some.groupBy("p_brand").agg(packed.alias("_p")).select(
+    brands = p.groupBy("p_brand").agg(packed.alias("_p")).select(
         F.col("p_brand").alias("visual_id"), F.when(odd, "chart").alias("kind"),
         F.when(odd, points).otherwise(none).alias("series"), F.when(odd, F.array().cast("array<array<struct<t:string,v:double>>>")).otherwise(F.array(points)).alias("series_multi"))
     sizes = p.select(F.concat(F.lit("V"), F.col("p_size").cast("string")).alias("visual_id")).distinct().select(
@@ -389,7 +397,7 @@ def visual_resolve(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("curated_docs", f"""
 WITH {RANKED}, {VIS},
-bp AS (SELECT p_brand AS v, p_retailprice AS price, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn FROM part QUALIFY rn <= 10),
+bp AS (SELECT p_brand AS v, p_retailprice AS price, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn FROM part),
 cnt AS (SELECT v, max(rn) AS n FROM bp GROUP BY v),
 sp AS (SELECT v, string_agg(CAST(CAST(price AS DECIMAL(9, 1)) AS VARCHAR), ',' ORDER BY rn) AS spark FROM bp JOIN cnt USING (v) WHERE n >= 2 AND rn > n - 8 GROUP BY v)
 SELECT r.id, title, importance, visuals, spark, CASE category WHEN 'RATE' THEN '🏦' WHEN 'FX' THEN '💱' ELSE '📰' END AS icon, 'text ' || p_brand AS effects,

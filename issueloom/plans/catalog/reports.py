@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ...operators import diagnostics as D
 from ...operators.lifecycle import calls_on
+from ...operators.summary import review_listing as review_queue
 from ...settings import Settings
 from . import query, table
 from .views import (
@@ -59,21 +60,26 @@ def review_listing(spark: SparkSession, sf: str) -> DataFrame:
     rows = c.select(
         F.concat_ws("-", "conv_id", "turn").alias("issue_id"), F.timestamp_seconds("turn").alias("at"),
         F.to_json(F.struct(F.concat(F.lit("turn "), F.col("turn").cast("string")).alias("summary"))).alias("reason"))
-    return rows.orderBy(F.col("at").desc(), "issue_id").select("issue_id", F.from_json("reason", "summary string")["summary"].alias("reason"))
+    return review_queue(rows).select("issue_id", "reason")
 
 
 @query("run_metadata", f"""
 WITH {ISSUES}, {ARTICLES}, {COUNTS}
 SELECT c.*, (SELECT string_agg(status || '=' || n, ',' ORDER BY status) FROM (SELECT status, count(*) AS n FROM issues GROUP BY status)) AS issue_counts,
   (SELECT CAST(sum(CAST(value AS BIGINT)) AS BIGINT) FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15') AS calls_today,
-  (SELECT CAST(count(*) AS BIGINT) FROM conversations WHERE role = 'user') AS review_queue, 0.82 AS tau_join FROM counts c""".replace("0.82 AS tau_join", "CAST(0.82 AS DOUBLE) AS tau_join"))
+  (SELECT CAST(count(*) AS BIGINT) FROM conversations WHERE role = 'user') AS review_queue, 0.82 AS tau_join,
+  (SELECT 'now:{{}},' || string_agg(strftime(ts, '%H:%M:%S') || ':' || event_type, ',' ORDER BY ts DESC, event_id DESC) FROM (SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 20)) AS history
+  FROM counts c""".replace("0.82 AS tau_join", "CAST(0.82 AS DOUBLE) AS tau_join"))
 def run_metadata(spark: SparkSession, sf: str) -> DataFrame:
     log = table(spark, sf, "events").select(F.col("ts").alias("at"), F.rint("value").cast("long").alias("calls"))
     calls = calls_on(log, F.lit("2024-01-15 10:00:00").cast("timestamp"))
     reviews = table(spark, sf, "conversations").filter("role = 'user'")
-    row = D.run_metadata(issues(spark, sf), articles(spark, sf), calls, reviews, {"tau_join": Settings().tau_join})
+    runs = table(spark, sf, "events").select(F.col("event_id").alias("run_id"), F.col("ts").cast("timestamp").alias("at"), F.col("event_type").alias("stats"))
+    row = D.run_metadata(issues(spark, sf), articles(spark, sf), calls, reviews, {"tau_join": Settings().tau_join}, runs, now(), {})
+    told = F.transform("history", lambda h, i: F.concat_ws(":", F.when(i == 0, "now").otherwise(F.date_format(h["at"], "HH:mm:ss")), h["stats"]))
     entries = F.transform(F.map_entries("issue_counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
-    return row.select("article_counts.*", F.array_join(entries, ",").alias("issue_counts"), "calls_today", "review_queue", "thresholds.tau_join")
+    return row.select("article_counts.*", F.array_join(entries, ",").alias("issue_counts"), "calls_today", "review_queue", "thresholds.tau_join",
+                      F.array_join(told, ",").alias("history"))
 
 
 @query("issue_diagnostics", f"""

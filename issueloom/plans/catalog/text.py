@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ...functions import text as X
 from ...operators import glossary as G
+from ...operators.dedup import first_by_id
 from ...sources import landing, payloads
 from . import query, table
 
@@ -61,10 +62,10 @@ WITH {COLLECTED}, {CANON},
 first AS (SELECT url, min(pos) AS pos, count(*) AS copies FROM canon GROUP BY url)
 SELECT sha1(url) AS id, url, CAST(pos AS BIGINT) AS pos, CAST(copies AS BIGINT) AS copies FROM first""")
 def url_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _collected(spark, sf).withColumn("curl", X.canonical_url("url"))
-    return rows.groupBy("curl").agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("copies")).select(
-        F.sha1(F.encode("curl", "UTF-8")).alias("id"), F.col("curl").alias("url"), "pos", "copies"
-    )
+    rows = _collected(spark, sf).select("pos", X.canonical_url("url").alias("curl"))
+    rows = rows.select("pos", "curl", F.sha1(F.encode("curl", "UTF-8")).alias("id"))
+    copies = rows.groupBy("id").agg(F.count(F.lit(1)).alias("copies"))
+    return first_by_id(rows, "id", [F.col("pos")]).join(copies, "id").select("id", F.col("curl").alias("url"), "pos", "copies")
 
 
 @query("append_new_articles", f"""

@@ -52,7 +52,7 @@ SELECT a.vec_id AS aid, iid AS best_issue, round(sim, 6) AS best_sim,
 FROM articles a LEFT JOIN gated ON aid = a.vec_id""")
 def assign_bands(spark: SparkSession, sf: str) -> DataFrame:
     articles, issues = sides(spark, sf)
-    return C.assign(articles, issues, LOW).select(
+    return C.assign(articles, issues, LOW, diagnose=False).select(
         "aid", "best_issue", F.round("best_sim", 6).alias("best_sim"), "decision", "hold_count"
     )
 
@@ -216,9 +216,15 @@ def merge_repoint(spark: SparkSession, sf: str) -> DataFrame:
     return C.repoint(children, mapping).groupBy("issue_id").agg(F.count(F.lit(1)).alias("children"))
 
 
-FOLD_SQL = """
+def half_sql(x: str) -> str:
+    """A number rounded to half precision: eleven significant bits, steps of 2^-24 below 2^-14, ties to even."""
+    step = f"pow(2, greatest(floor(log2(abs({x}))), -14) - 10)"
+    return f"CASE WHEN {x} = 0 THEN 0 ELSE round_even({x} / {step}, 0) * {step} END"
+
+
+FOLD_SQL = f"""
 WITH RECURSIVE m AS (
-  SELECT label, vec_id, embedding::DOUBLE[] AS v, coalesce(toxic, 0) = 1 AS is_dup,
+  SELECT label, vec_id, list_transform(embedding::DOUBLE[], lambda x: {half_sql('x')}) AS v, coalesce(toxic, 0) = 1 AS is_dup,
          row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rn FROM embeddings LEFT JOIN labels ON doc_id = vec_id),
 j AS (SELECT *, coalesce(sum(CASE WHEN is_dup THEN 0 ELSE 1 END) OVER
         (PARTITION BY label ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled FROM m WHERE rn > 1),
@@ -226,7 +232,7 @@ moving AS (SELECT label, v, row_number() OVER (PARTITION BY label ORDER BY rn) A
 f(label, n, c) AS (
   SELECT label, 0::BIGINT, v FROM m WHERE rn = 1
   UNION ALL
-  SELECT f.label, f.n + 1, list_transform(u, lambda x: x / sqrt(list_dot_product(u, u)))
+  SELECT f.label, f.n + 1, list_transform(list_transform(u, lambda x: x / sqrt(list_dot_product(u, u))), lambda x: {half_sql('x')})
   FROM f JOIN (SELECT label, n, v FROM moving) k ON k.label = f.label AND k.n = f.n + 1,
   LATERAL (SELECT list_transform(list_zip(f.c, k.v), lambda p: 0.9 * p[1] + 0.1 * p[2]) AS u) t),
 last AS (SELECT label, max(n) AS n FROM f GROUP BY label)
@@ -263,15 +269,16 @@ def merged_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("promote", """
-WITH s AS (SELECT user_id AS iid, count(DISTINCT event_type) AS n FROM events WHERE value >= 100 GROUP BY user_id)
+WITH s AS (SELECT user_id AS iid, count(DISTINCT event_type) AS n FROM events WHERE NOT value < 100 GROUP BY user_id)
 SELECT c_custkey AS iid, CASE WHEN c_acctbal >= 5000 THEN 'active' WHEN coalesce(n, 0) >= 2 THEN 'active' ELSE 'candidate' END AS status,
        c_acctbal >= 5000 OR coalesce(n, 0) >= 2 AS frozen, CAST(coalesce(n, 0) AS BIGINT) AS seen_sources
 FROM customer LEFT JOIN s ON iid = c_custkey""")
 def promote(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as articles, small ones as near duplicates; users with two kinds of others are promoted."""
     from ...operators.dedup import distinct_sources
 
-    articles = table(spark, sf, "events").filter("value >= 100").select(
-        F.col("user_id").alias("issue_id"), F.col("event_type").alias("source"), F.lit(False).alias("is_dup")
+    articles = table(spark, sf, "events").select(
+        F.col("user_id").alias("issue_id"), F.col("event_type").alias("source"), F.coalesce(F.col("value") < 100, F.lit(True)).alias("is_dup")
     )
     sources = distinct_sources(articles).withColumnRenamed("issue_id", "iid")
     rich = F.col("c_acctbal") >= 5000
@@ -379,12 +386,16 @@ def prototype_category(spark: SparkSession, sf: str) -> DataFrame:
 @query("category_fallback", f"""
 WITH {PROTO_SQL}, {KEYWORD_SQL},
 h AS (SELECT doc_id AS iid, cat, ord, count(*) AS n FROM documents, kw WHERE contains(lower(text), word) GROUP BY ALL),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY n DESC, ord) AS r FROM h) WHERE r = 1)
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY n DESC, ord) AS r FROM h) WHERE r = 1),
+mh AS (SELECT conv_id AS iid, cat, ord, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations), kw
+  WHERE k <= 10 AND contains(lower(text), word) GROUP BY ALL),
+mbest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY n DESC, ord) AS r FROM mh) WHERE r = 1)
 SELECT p.iid, CASE WHEN d.lang = 'fr' THEN 'GEO'
-  ELSE coalesce(b.cat, CASE WHEN sim >= 0.12 THEN 'C' || label ELSE 'ETC' END) END AS category
-FROM pbest p JOIN documents d ON d.doc_id = p.iid LEFT JOIN best b ON b.iid = p.iid""")
+  ELSE coalesce(b.cat, m.cat, CASE WHEN sim >= 0.12 THEN 'C' || label ELSE 'ETC' END) END AS category
+FROM pbest p JOIN documents d ON d.doc_id = p.iid LEFT JOIN best b ON b.iid = p.iid LEFT JOIN mbest m ON m.iid = p.iid""")
 def category_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    """Rule, keywords, prototype, ETC: French documents are official events with a category of their own."""
+    """Rule, keywords of the title, of the members, prototype, ETC: French documents are official events with a category of their
+    own; turns of the conversation of the same number are a document's members."""
     proto, rows = _prototypes(spark, sf)
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("iid"), F.col("text").alias("canonical_title"), "lang")
     official = F.col("lang") == "fr"
@@ -392,7 +403,7 @@ def category_fallback(spark: SparkSession, sf: str) -> DataFrame:
         "iid", "canonical_title", F.when(official, "GEO").otherwise("ETC").alias("category"),
         F.when(official, "official_event").otherwise("cluster").alias("origin"), F.lit("active").alias("status"),
     )
-    members = docs.filter(F.lit(False)).select("iid", F.col("iid").alias("aid"), F.col("canonical_title").alias("title"))
+    members = table(spark, sf, "conversations").select(F.col("conv_id").alias("iid"), F.col("turn").alias("aid"), F.col("text").alias("title"))
     keyword = K.keyword_category(issues, members, WORDS)
     return K.classify(issues, keyword, proto).select("iid", "category")
 

@@ -67,6 +67,7 @@ class Settings:
     hold_max_tries: int = 2
     active_window_h: int = 72
     centroid_alpha: float = 0.10
+    half_precision: bool = True  # vectors have the precision of their two-byte storage at every step
     merge_sim: float = 0.86
     min_publish: int = 2
     gate_allow_empty: bool = True

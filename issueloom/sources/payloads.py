@@ -9,7 +9,7 @@ from ..operators.ordered import spread_join, top_n
 from ..settings import (
     EARNINGS_PATTERN, NOTICE_PATTERN, OPERATING_INCOME_TAGS, REPORT_QUARTER, RESULTS_ITEM_PATTERN, REVENUE_TAGS,
 )
-from .schemas import ATOM_SCHEMA, INDEX_PAYLOAD, OBSERVATION_PAYLOAD, RSS_SCHEMA, SEARCH_PAYLOAD, STATISTICS_PAYLOAD
+from .schemas import ATOM_SCHEMA, EVENT, INDEX_PAYLOAD, OBSERVATION_PAYLOAD, RSS_SCHEMA, SEARCH_PAYLOAD, STATISTICS_PAYLOAD
 
 
 def feed_entries(payloads: DataFrame, text: str = "payload") -> DataFrame:
@@ -82,6 +82,10 @@ def earnings_events(disclosures: DataFrame, facts: DataFrame, aliases: list[tupl
 
     Facts are joined on the event's own quarter, consolidated revenue and operating profit only, in 1e8 units.
     """
+    return _earnings(disclosures, facts, aliases, per_event).select("key", "category", "entity", "period", "title", "anchors")
+
+
+def _earnings(disclosures: DataFrame, facts: DataFrame, aliases: list[tuple[str, str]], per_event: int) -> DataFrame:
     kept = disclosures.filter(F.col("report_name").rlike(EARNINGS_PATTERN) & (F.size(entity_keys("corp_name", aliases)) > 0))
     kept = kept.withColumn("period", period_bucket("report_name", "receipt_day"))
     quarter = F.create_map(*[F.lit(x) for kv in REPORT_QUARTER.items() for x in kv])
@@ -99,9 +103,39 @@ def earnings_events(disclosures: DataFrame, facts: DataFrame, aliases: list[tupl
         F.col("corp_name").alias("entity"), "period",
         F.concat("corp_name", F.lit(" "), "period", F.lit(" "), early, F.lit("실적 공시")).alias("title"),
         F.coalesce(F.transform("_a", lambda x: x["anchor"]), F.array().cast("array<struct<metric:string,value:double>>")).alias("anchors"),
+        "report_name", "receipt_no",
     )
 
 
+def _documents(rows: DataFrame, now: Column, source: str, anchors: Column, told: Column, url: Column) -> DataFrame:
+    """Rows (key, entity, period, title) as whole event documents, in the columns that the jobs on events read."""
+    completed = F.transform(anchors, lambda a: F.struct(
+        F.col("entity").alias("entity"), a["metric"].alias("metric"), a["value"].alias("value"), a["unit"].alias("unit"),
+        F.lit(None).cast("double").alias("prev"), a["period"].alias("period"), F.lit(source).alias("source"),
+        F.lit(None).cast("timestamp").alias("observed_at")))
+    document = rows.select(
+        "key", now.alias("created_at"), F.lit("EARNINGS").alias("category"), "entity", "period", "title", completed.alias("anchors"),
+        F.struct(F.lit("official").alias("kind"), told.alias("title"), F.lit(source).alias("source"), url.alias("url")).alias("timeline"),
+        F.lit(None).alias("headlines"))
+    fields = rows.sparkSession.createDataFrame([], EVENT).schema.fields
+    return document.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def disclosure_documents(disclosures: DataFrame, facts: DataFrame, aliases: list[tuple[str, str]], now: Column, url: str, per_event: int = 4) -> DataFrame:
+    """Earnings disclosures as whole event documents; `url` is the address of a receipt up to its number."""
+    rows = _earnings(disclosures, facts, aliases, per_event)
+    anchors = F.transform("anchors", lambda a: F.struct(
+        a["metric"].alias("metric"), a["value"].alias("value"), F.lit("억원").alias("unit"), F.col("period").alias("period")))
+    return _documents(rows, now, "DART", anchors, F.concat_ws(" ", "entity", "report_name"), F.concat(F.lit(url), "receipt_no"))
+
+
+def filing_documents(entries: DataFrame, concepts: DataFrame, now: Column, n: int = 4) -> DataFrame:
+    """Filing entries as whole event documents of the quarter they are read in."""
+    quarter = F.concat(F.year(now).cast("string"), F.lit("-"), F.quarter(now).cast("string"), F.lit("Q"))
+    rows = filing_anchors(filing_events(entries), concepts, n).withColumn("period", quarter)
+    return _documents(rows, now, "EDGAR", F.col("anchors"), F.concat_ws(" ", "entity", "form"), F.col("link"))
+
+
 def filing_events(entries: DataFrame) -> DataFrame:
     """Filing entries (form, title, summary, link) as events keyed by accession number.
 

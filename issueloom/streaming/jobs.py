@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import series as G
 from ..operators.readmodel import index_document
 from ..operators.dedup import first_by_id, mark_near_duplicates
-from ..plans.cycle import Dictionaries, empty_state, load_state, run_cycle
+from ..plans.cycle import Dictionaries, diagnose, run_cycle
+from ..plans.state import Snapshot, load_state, vacuum
 from ..settings import Settings
 from ..sources.landing import publish
 
@@ -115,19 +116,26 @@ def ingest_batches(path: str, s: Settings, time_col: str | None = "published_at"
     return run
 
 
-def cycle_batches(path: str, events: Callable, clock: Callable, d: Dictionaries, s: Settings, **options) -> Callable:
+def cycle_batches(path: str, events: Callable, clock: Callable, d: Dictionaries, s: Settings, topics: Callable | None = None,
+                  attribution: str = "", **options) -> Callable:
     """foreachBatch function: one whole cycle per micro-batch of raw articles.
 
-    `events(batch_id)` gives the event documents to consider, `clock(batch_id)` the time of the cycle. State is one
-    folder per batch, so a repeated batch starts again from the state before it.
+    `events(batch_id)` gives the event documents to consider, `clock(batch_id)` the time of the cycle. Batch n commits version n of
+    the state, starting from version n - 1, so a repeated batch starts again from the state before it. Versions older than the
+    last two and what only they used are removed. `topics(state)` gives the steady topics of the index, `attribution` names
+    its sources.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = empty_state(spark) if batch_id == 0 else load_state(spark, f"{path}/state/batch={batch_id - 1}")
-        _, stats, cards, details = run_cycle(
-            spark, state, batch, events(batch_id), clock(batch_id), d, s, folder=f"{path}/state/batch={batch_id}", **options)
-        index = index_document(cards, clock(batch_id), "")
+        spark, root = batch.sparkSession, f"{path}/state"
+        state = load_state(spark, root, batch_id - 1) if batch_id else Snapshot(spark, root)
+        written, stats, cards, details = run_cycle(
+            spark, state, batch, events(batch_id), clock(batch_id), d, s, folder=root, version=batch_id, **options)
+        index = index_document(cards, clock(batch_id), attribution, topics(written) if topics is not None else None)
         publish(index, details, f"{path}/published")
+        metadata, listed, recent = diagnose(written, clock(batch_id), s)
+        publish(metadata, listed, f"{path}/diagnostics/issues")
+        publish(metadata, recent, f"{path}/diagnostics/articles")
+        vacuum(spark, root)
         run.stats = stats
 
     return run

@@ -44,10 +44,21 @@ def make(rng, n, late_first):
 def test_marking_equals_brute_force(spark, seed, hot_limit, late_first):
     rows = make(np.random.default_rng(seed), 150, late_first)
     df = spark.createDataFrame(rows, "o long, h long, t timestamp")
-    got = D.mark_near_duplicates(df, "h", "o", "t", 3, 48, hot_limit=hot_limit, salts=4)
+    got = D.mark_near_duplicates(df, "h", "o", "t", 3, 48, hot_limit=hot_limit)
     assert {r.o for r in got.filter("is_dup").collect()} == brute(rows, 3, 48)
 
 
+def test_neighbouring_slices_are_decided_row_by_row(spark):
+    """One hash in many rows around the borders of the slices, in random order of arrival: every question is an open one."""
+    rng = np.random.default_rng(8)
+    for step in (1, 60 * 24):
+        minutes = rng.integers(0, 4 * 48 * 60 // step, 400) * step
+        rows = [(i, 7 if i % 3 else 5, T0 + dt.timedelta(minutes=int(m))) for i, m in enumerate(minutes)]
+        df = spark.createDataFrame(rows, "o long, h long, t timestamp")
+        got = D.mark_near_duplicates(df, "h", "o", "t", 3, 48)
+        assert {r.o for r in got.filter("is_dup").collect()} == brute(rows, 3, 48)
+
+
 def test_one_hot_hash_and_missing_hashes(spark):
     rows = [(i, 7, T0 + dt.timedelta(hours=i)) for i in range(300)] + [(1000, None, T0), (1001, None, T0)]
     df = spark.createDataFrame(rows, "o long, h long, t timestamp")

@@ -109,6 +109,37 @@ def test_publishing_replaces_what_was_there(spark, tmp_path):
     rows = spark.createDataFrame([("a", "active", 5), ("b", "stale", 9)], "id string, status string, importance long").withColumn("last_update", ts("2026-07-10"))
     for cards in (rows, rows.filter("id = 'b'")):
         landing.publish(index_document(cards, ts("2026-07-10"), "src"), cards, str(tmp_path / "out"))
-    index = spark.read.json(str(tmp_path / "out/index")).collect()[0]
-    assert [json.loads(c)["id"] for c in index.issues] == ["b"]
-    assert [r.id for r in spark.read.parquet(str(tmp_path / "out/details")).collect()] == ["b"]
+    index, details = landing.read_published(spark, str(tmp_path / "out"))
+    assert [json.loads(c)["id"] for c in index.first().issues] == ["b"]
+    assert [r.id for r in details.collect()] == ["b"]
+
+
+def test_disclosures_and_filings_become_whole_events(spark):
+    now = ts("2031-05-06")
+    reports = spark.createDataFrame(
+        [("r1", "c1", "Seadrill 산업", "분기보고서 (2031.03)", "20310510"), ("r2", "c2", "무명 회사", "분기보고서 (2031.03)", "20310510")],
+        "receipt_no string, corp_code string, corp_name string, report_name string, receipt_day string")
+    facts = spark.createDataFrame(
+        [("c1", "2031", "11013", "CFS", "매출액", "12,300,000,000", 1), ("c1", "2031", "11013", "OFS", "매출액", "1", 2), ("c1", "2031", "11013", "CFS", "영업이익", "900,000,000", 3)],
+        "corp_code string, year string, report_code string, division string, account string, amount string, seq int")
+    one, = payloads.disclosure_documents(reports, facts, [("Seadrill", "SEA")], now, "https://receipts.test/").collect()
+    assert one.key == "dart_r1" and one.category == "EARNINGS" and one.created_at is not None and one.headlines is None
+    assert [(a.entity, a.metric, a.value, a.unit, a.prev, a.period, a.source) for a in one.anchors] == [
+        ("Seadrill 산업", "매출액", 123.0, "억원", None, one.period, "DART"), ("Seadrill 산업", "영업이익", 9.0, "억원", None, one.period, "DART")]
+    assert tuple(one.timeline) == ("official", "Seadrill 산업 분기보고서 (2031.03)", "DART", "https://receipts.test/r1")
+    entries = spark.createDataFrame(
+        [("10-Q", "Larkspur Corp (0000123456) (Filer)", "AccNo: 0000123456-31-000007 CIK=123456", "https://filings.test/0000123456-31-000007")],
+        "form string, title string, summary string, link string")
+    concepts = spark.createDataFrame([("123456", "Revenues", "10-Q", "CY2031Q1", "2031-03-31", 5.25e8, 1)],
+                                     "cik string, tag string, form string, frame string, end string, val double, seq int")
+    two, = payloads.filing_documents(entries, concepts, now).collect()
+    assert two.period == "2031-2Q" and two.timeline.source == "EDGAR" and two.timeline.url == entries.first().link
+    assert [(a.metric, a.value, a.unit, a.period, a.source) for a in two.anchors] == [("매출", 525.0, "백만달러", "2031-03-31", "EDGAR")]
+    # both feed the jobs on events as they are
+    from issueloom.operators import events as V
+    from issueloom.plans.state import empty_state
+
+    state = empty_state(spark)
+    both = payloads.disclosure_documents(reports, facts, [("Seadrill", "SEA")], now, "u").unionByName(payloads.filing_documents(entries, concepts, now))
+    linked = V.link_events(V.pending(both, state["processed"]), state["issues"])
+    assert V.event_anchors(linked, now).count() == 3 and V.event_timeline(linked, now).count() == 2
