@@ -269,14 +269,20 @@ def near_texts(df: DataFrame, own: Scratch, text: str = "text", key: str = "doc_
     rows = own.cut(where.select("key", "node", sketch(F.col("t"), words).alias("s")))
     texts = rows.groupBy("node").agg(F.min("key").alias("key"), F.any_value("s").alias("s"))
     texts = own.cut(texts.select(F.monotonically_increasing_id().alias("id"), "node", "key", "s.n", "s.keys"))
-    keyed = texts.select("id", "n", F.explode("keys").alias("bucket"))
-    open_rows = own.cut(_unsettled(keyed.withColumns({"root": F.col("id"), "linked": F.lit(False)})))
-    nodes = open_rows.select("id").distinct()
+    # a text has a key once, so a key of two rows is shared; only the narrowest rows travel to find this out
+    keyed = texts.select("id", F.explode("keys").alias("bucket"))
+    shared = keyed.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket")
+    met = own.cut(_spread(keyed, shared, "bucket"))
+    nodes = own.cut(met.select("id").distinct().join(texts.select("id", "node", "key", "n").hint("merge"), "id"))
     roots = own.cut(nodes.select("id", F.col("id").alias("root")))
-    mine = texts.select("id", F.col("node").alias("of"), F.col("key").alias("first")).join(roots.select("id").hint("merge"), "id")
-    sets = where.join(mine, (where["node"] == F.col("of")) & where["key"].eqNullSafe(F.col("first")))
-    sets = sets.select("id", _shingles(F.col("t"), words).alias("s")).dropDuplicates(["id"])
+    sizes = nodes.select("id", "n", F.col("id").alias("root"), F.lit(False).alias("linked"))
+    open_rows = own.cut(met.join(sizes.hint("merge"), "id"))
+    # keys as structs, in which nulls are equal: the join's partitions serve the removal of repeated rows as well
+    mine = nodes.select("id", F.col("node").alias("of"), F.struct("key").alias("whose"))
+    sets = where.select("node", F.struct("key").alias("k"), "t").join(mine, (F.col("node") == F.col("of")) & (F.col("k") == F.col("whose")))
+    sets = sets.dropDuplicates(["node", "k"]).select("id", _shingles(F.col("t"), words).alias("s"))
     sets = own.cut(sets)
+    own.drop(met, nodes)
     r = 0
     while not open_rows.isEmpty():
         slot = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(4 ** max(0, r - 1)))
@@ -334,9 +340,11 @@ def dedup(df: DataFrame, text: str = "text", key: str = "doc_id", **options) ->
     """One row of each group of near duplicates, the one with the smallest key (nulls last); all columns stay."""
     own = Scratch(df.sparkSession)
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("m")
-    kept = own.keep(own.cut(near_texts(df, own, text, key, **options).groupBy("root").agg(first).select(F.col("m.node").alias("kept_node"), F.col("m.key").alias("kept_key"))))
+    kept = own.keep(own.cut(near_texts(df, own, text, key, **options).groupBy("root").agg(first).select(F.col("m.node").alias("kept_node"), F.struct("m.key").alias("kept_key"))))
     own.close()
     (node,) = free(df, "node")
-    rows = df.withColumn(node, text_key(whole(text)))
-    mine = (F.col(node) == F.col("kept_node")) & F.col(key).eqNullSafe(F.col("kept_key"))
-    return rows.join(kept, mine, "left_semi").dropDuplicates([node, key]).select(*df.columns)
+    (whose,) = free(df, "whose")
+    rows = df.withColumns({node: text_key(whole(text)), whose: F.struct(key)})
+    mine = (F.col(node) == F.col("kept_node")) & (F.col(whose) == F.col("kept_key"))
+    # the semi join deals rows out by text and key, and repeated rows go without another shuffle
+    return rows.join(kept, mine, "left_semi").dropDuplicates([node, whose]).select(*df.columns)
