@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import cut
 from .common import whole
@@ -37,7 +37,8 @@ CANDIDATES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]++(?: ?(?:\(dot\)|\[dot\]| dot |\.) ?[A-Za-z]{2,12}+)++",
     "phone": r"(?<![A-Za-z0-9+.(-])\(?[0-9][ ().0-9-]{5,}[0-9](?![A-Za-z0-9])",
 }
-AROUND = 24
+AROUND, AFTER = 24, 2  # characters before and after a candidate that count
+BACK = 4  # matches before, which with their gaps fill AROUND
 CONTEXT = {
     "email": ("(?i)mail|contact|write|kontakt|correo|courriel|schreib|escrib", "(?i)version|chapter|meet|arriv"),
     "phone": ("(?i)phone|tel|call|fax|mobil|hotline|kontakt|contact|whatsapp|ruf", r"(?i)order|invoice|isbn|version|date|page|card|number of|ssn|\$|€"),
@@ -45,19 +46,14 @@ CONTEXT = {
 ROUNDS = 50
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Array of (s, e, m): start, end and text of every match, from the pieces between matches."""
+def pieces(text: Column, pattern: str, code: int) -> Column:
+    """Array of (code, m, gap, tail, head) for every match: its text, the length of what lies between it and the match before,
+    the end of that, and the start of what follows. Positions are sums of lengths, taken when the array has become rows."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    both = F.arrays_zip(found.alias("m"), F.slice(between, 1, F.size(found)).alias("g"))
-    empty = F.array().cast("array<struct<s:int,e:int,m:string>>")
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-
-    def step(state: Column, x: Column) -> Column:
-        s = state["at"] + F.length(x["g"])
-        e = s + F.length(x["m"])
-        return F.struct(e.alias("at"), F.concat(state["spans"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))).alias("spans"))
-
-    return F.when(F.size(found) > 0, F.aggregate(both, zero, step, lambda state: state["spans"])).otherwise(empty)
+    both = F.arrays_zip(found.alias("m"), F.slice(between, 1, F.size(found)).alias("g"), F.slice(between, 2, F.size(found)).alias("h"))
+    return F.transform(both, lambda x: F.struct(
+        F.lit(code).alias("code"), x["m"].alias("m"), F.length(x["g"]).alias("gap"), F.right(x["g"], F.lit(AROUND)).alias("tail"),
+        F.left(x["h"], F.lit(AFTER)).alias("head")))
 
 
 def digits(x: Column) -> Column:
@@ -81,22 +77,14 @@ def valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column, kind: str) -> Column:
-    found = F.filter(matches(text, PATTERNS[kind]), lambda x: valid(kind, x["m"]))
-    if kind in NEEDS:
-        found = F.when(F.contains(text, F.lit(NEEDS[kind])), found).otherwise(F.array().cast("array<struct<s:int,e:int,m:string>>"))
-    return found
-
-
 def vote(for_it: Column, against: Column) -> Column:
     return F.when(for_it, 1).when(against, -1).otherwise(0)
 
 
-def judged(text: Column, kind: str, x: Column) -> Column:
-    """A candidate with its votes and features."""
-    m, d = x["m"], F.length(digits(x["m"]))
-    before = F.substring(text, F.greatest(x["s"] - AROUND + 1, F.lit(1)), F.least(x["s"], F.lit(AROUND)))
-    after = F.substring(text, x["e"] + 1, 2)
+def judged(kind: str) -> tuple[Column, Column]:
+    """Votes and features of a candidate with its text m and its surroundings before and after."""
+    m, before, after = F.col("m"), F.col("before"), F.col("after")
+    d = F.length(digits(m))
     near, far = before.rlike(CONTEXT[kind][0]), before.rlike(CONTEXT[kind][1])
     if kind == "phone":
         votes = [
@@ -116,8 +104,7 @@ def judged(text: Column, kind: str, x: Column) -> Column:
             vote(F.lit(False), after.rlike(r"^[A-Za-z]")),
         ]
         features = [m.contains("("), m.contains("["), m.rlike(r"\.[A-Za-z]+$"), m.rlike("[0-9]"), F.length(m) > 40, m.contains(" at "), near, far]
-    return F.struct(F.lit(KINDS.index(kind)).alias("k"), x["s"].alias("s"), x["e"].alias("e"), F.concat(*[(v + 1).cast("string") for v in votes]).alias("votes"),
-                    F.concat(*[f.cast("int").cast("string") for f in features]).alias("features"))
+    return F.concat(*[(v + 1).cast("string") for v in votes]), F.concat(*[f.cast("int").cast("string") for f in features])
 
 
 def reliabilities(patterns: list[tuple[str, int]]) -> dict[str, float]:
@@ -159,22 +146,53 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
+def spans_of(rows: DataFrame) -> DataFrame:
+    """(key, base, loose) of rows (key, t): base spans (k, s, e), and judged candidates that touch none of them.
+
+    Matches leave their text as rows, so texts are read once and never shuffled, and a text with very many matches takes time in
+    proportion: positions are running sums, and a candidate touches a base span if the farthest end of those that begin
+    before its own end lies beyond its start.
+    """
+    t, none = F.col("t"), F.array().cast("array<struct<code:int,m:string,gap:int,tail:string,head:string>>")
+    loose = {kind: len(KINDS) + i for i, kind in enumerate(CANDIDATES)}
+    found = [F.when(F.contains(t, F.lit(NEEDS[k])), pieces(t, PATTERNS[k], i)).otherwise(none) if k in NEEDS else pieces(t, PATTERNS[k], i)
+             for i, k in enumerate(KINDS)]
+    found += [pieces(t, CANDIDATES[k], code) for k, code in loose.items()]
+    one = rows.select(F.monotonically_increasing_id().alias("row"), "key", F.concat(*found).alias("x"))
+    each = one.select("row", "key", F.posexplode_outer("x").alias("n", "x")).select("row", "key", "n", "x.*").repartition("row")
+    order = W.partitionBy("row", "code").orderBy("n")
+    ends = F.sum(F.col("gap") + F.length("m")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow)).cast("int")
+    # what stands before: the gap, and where it is short the matches and gaps before it
+    earlier = [x for i in range(BACK, 0, -1) for x in (F.coalesce(F.lag("tail", i).over(order), F.lit("")), F.coalesce(F.lag("m", i).over(order), F.lit("")))]
+    placed = each.withColumns({
+        "e": ends, "before": F.right(F.concat(*earlier, "tail"), F.lit(AROUND)),
+        "after": F.left(F.concat("head", F.coalesce(F.lead("m", 1).over(order), F.lit(""))), F.lit(AFTER))})
+    placed = placed.withColumn("s", F.col("e") - F.length("m"))
+    wrong = F.lit(False)
+    for i, kind in enumerate(KINDS):
+        wrong = F.when(F.col("code") == i, ~valid(kind, F.col("m"))).otherwise(wrong)
+    placed = placed.withColumn("code", F.when(~F.coalesce(wrong, F.lit(True)), F.col("code")))  # a match that fails is no span
+    is_base = F.col("code") < len(KINDS)
+    place = F.when(is_base, F.col("s") * 2).otherwise(F.col("e") * 2 - 1)  # bases that begin before a candidate's end stand before it
+    behind = W.partitionBy("row").orderBy(place).rowsBetween(W.unboundedPreceding, W.currentRow)
+    told = placed.withColumn("reach", F.max(F.when(is_base, F.col("e"))).over(behind))
+    alone = (F.col("code") >= len(KINDS)) & (F.coalesce(F.col("reach"), F.lit(0)) <= F.col("s"))
+    votes, features = F.lit(None).cast("string"), F.lit(None).cast("string")
+    kind_of = F.lit(None).cast("int")
+    for kind, code in loose.items():
+        v, f = judged(kind)
+        votes, features = F.when(F.col("code") == code, v).otherwise(votes), F.when(F.col("code") == code, f).otherwise(features)
+        kind_of = F.when(F.col("code") == code, F.lit(KINDS.index(kind))).otherwise(kind_of)
+    base = F.when(is_base, F.struct(F.col("code").alias("k"), "s", "e"))
+    candidate = F.when(alone, F.struct(kind_of.alias("k"), "s", "e", votes.alias("votes"), features.alias("features")))
+    packed = told.groupBy("row").agg(F.first("key").alias("key"), F.collect_list(base).alias("base"), F.collect_list(candidate).alias("loose"))
+    return packed.select("key", F.array_sort("base").alias("base"), F.array_sort("loose").alias("loose"))
+
+
 def find(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_email, n_ip, n_card, n_phone, base, spans): base and spans are arrays of (k, s, e), k the place in KINDS,
     ordered by kind and start; spans holds the base spans and the added ones."""
-    rows = df.select(F.col(key).alias("key"), whole(text).alias("t"))
-    rows = rows.select("key", "t", *[base_spans(F.col("t"), k).alias(k) for k in KINDS])
-
-    def of_kind(i: int) -> Column:
-        return F.transform(KINDS[i], lambda x: F.struct(F.lit(i).alias("k"), x["s"].alias("s"), x["e"].alias("e")))
-
-    rows = rows.select("key", "t", F.concat(*[of_kind(i) for i in range(len(KINDS))]).alias("base"))
-
-    def loose(kind: str) -> Column:
-        alone = F.filter(matches(F.col("t"), CANDIDATES[kind]), lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-        return F.transform(alone, lambda x: judged(F.col("t"), kind, x))
-
-    rows = cut(rows.select("key", "base", F.concat(*[loose(k) for k in CANDIDATES]).alias("loose")))
+    rows = cut(spans_of(df.select(F.col(key).alias("key"), whole(text).alias("t"))))
     counts = rows.select(F.explode("loose").alias("c")).groupBy("c.k", "c.votes", "c.features").agg(F.count("*").alias("n")).collect()
     yes = {}  # accepted feature patterns
     for kind in CANDIDATES:
