@@ -11,7 +11,7 @@ computes its digest anew and compares it with the stored one.
 
 Null payloads are empty. Rows that share the largest key of their payload are all responses; null keys come before all
 others, a group of null keys only has responses. Ids of records are counted by the writer and are unique, also for
-repeated rows. Empty tables give an archive without records. Other columns are not stored.
+repeated rows; the key of a row stands in a header of its own, and a revisit names the page and the address of its response. Empty tables give an archive without records. Other columns are not stored.
 """
 
 from __future__ import annotations
@@ -28,11 +28,16 @@ CHUNK = 1 << 18
 ARROW_ROWS = 256  # so that a batch of chunks stays small
 
 
-def _header(kind: str, key, url, digest: str, size: int, refers) -> bytes:
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{key}>", f"WARC-Target-URI: {url or ''}".replace("\r", "").replace("\n", ""),
-             f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}", f"Content-Length: {0 if kind == 'revisit' else size}"]
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value: the format's name for such revisits
+
+
+def _header(record: int, kind: str, key, url, date: str, digest: str, size: int, refers, refers_url) -> bytes:
+    plain = lambda x: str(x if x is not None else "").replace("\r", "").replace("\n", "")
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:record:{record}>", f"WARC-Date: {date}", f"WARC-Target-URI: {plain(url)}",
+             f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: text/html; charset=utf-8", f"X-Page-ID: {plain(key)}", f"X-Payload-Length: {size}",
+             f"Content-Length: {0 if kind == 'revisit' else size}"]
     if kind == "revisit":
-        lines[3:3] = ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers}>"]
+        lines[3:3] = [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To-Target-URI: {plain(refers_url)}", f"X-Refers-To-Page: {plain(refers)}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode()
 
 
@@ -41,21 +46,24 @@ def _fields(block: bytes) -> tuple[dict[str, str], bytes]:
     return dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:]), body
 
 
-def write(df: DataFrame, path: str, payload: str = "html", key: str = "page_id", url: str = "url", least: int = 1000) -> None:
-    """Write one record for each row. Only digests are grouped; payloads travel at most once, beside the few digests that
+def write(df: DataFrame, path: str, payload: str = "html", key: str = "page_id", url: str = "url", least: int = 1000,
+          date: str = "1970-01-01T00:00:00Z") -> None:
+    """Write one record for each row; `date` is when the pages were captured. Only digests are grouped; payloads travel at most once, beside the few digests that
     occur several times."""
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = df.select(F.col(key).alias("key"), F.col(url).alias("url"), body.alias("body"))
     rows = rows.withColumns({"sha1": F.sha1("body"), "size": F.octet_length("body").cast("long")})
     same = rows.where(F.col("size") >= least).groupBy(F.col("sha1").alias("of"), F.col("size").alias("bytes"))
-    same = cut(same.agg(F.max("key").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").drop("n"))
+    best = F.max(F.struct("key", "url")).alias("m")
+    same = same.agg(best, F.count("*").alias("n")).where("n > 1 and m.key is not null")
+    same = cut(same.select("of", "bytes", F.col("m.key").alias("first"), F.col("m.url").alias("first_url")))
     rows = rows.join(same, (F.col("sha1") == F.col("of")) & (F.col("size") == F.col("bytes")), "left")
     revisit = F.col("first").isNotNull() & ~F.col("key").eqNullSafe(F.col("first"))
     rows = rows.withColumn("refers", F.when(revisit, F.col("first"))).withColumn("record", F.monotonically_increasing_id())
     pieces = F.when(F.col("refers").isNull(), F.greatest(F.lit(1).cast("long"), F.ceil(F.col("size") / CHUNK))).otherwise(F.lit(1).cast("long"))
     rows = rows.withColumn("pieces", pieces).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
     piece = F.expr(f"substring(body, cast(chunk * {CHUNK} + 1 as int), {CHUNK})")
-    rows = rows.select("record", "chunk", (F.col("chunk") == F.col("pieces") - 1).alias("last"), "key", "url", "sha1", "size", "refers",
+    rows = rows.select("record", "chunk", (F.col("chunk") == F.col("pieces") - 1).alias("last"), "key", "url", "sha1", "size", "refers", "first_url",
                        F.when(F.col("refers").isNull(), piece).otherwise(F.lit(b"")).alias("data"))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,7 +76,8 @@ def write(df: DataFrame, path: str, payload: str = "html", key: str = "page_id",
                     head = b""
                     if r["chunk"] == 0:
                         sha = hashlib.sha1()
-                        head = _header("revisit" if r["refers"] is not None else "response", r["key"], r["url"], r["sha1"], r["size"], r["refers"])
+                        kind = "revisit" if r["refers"] is not None else "response"
+                        head = _header(r["record"], kind, r["key"], r["url"], date, r["sha1"], r["size"], r["refers"], r["first_url"])
                     sha.update(r["data"])
                     out.append(head + r["data"])
                     digests.append(sha.hexdigest())
@@ -104,7 +113,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     response = fields["WARC-Type"] == "response"
                     if response and (sha.hexdigest() != stated or size != int(fields["Content-Length"])):
                         raise ValueError(f"record {fields['WARC-Record-ID']}: the payload does not match its digest")
-                    refers = None if response else fields["WARC-Refers-To"].removeprefix("<urn:page:").removesuffix(">")
+                    refers = None if response else fields["X-Refers-To-Page"]
                     out.append({"key": key, "payload_bytes": int(fields["X-Payload-Length"]), "payload_digest": stated,
                                 "record_type": fields["WARC-Type"], "refers_to": refers})
             if out:
