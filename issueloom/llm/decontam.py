@@ -38,6 +38,7 @@ SAMPLED = 2  # positions in one sample
 AGREE = 0.66  # share of equal positions of the embeddings of a passage and its item for the best of the windows around it
 PRIME = 0x9E3779B97F4A7C15
 PIECE = 1 << 20
+CELLS = 1 << 22  # words of windows or regions that are laid out at once
 CLASS_BITS = 18
 
 
@@ -242,13 +243,16 @@ def find(block: Block, h: np.ndarray, first: np.ndarray) -> dict[int, dict[int,
         stop = np.minimum(np.arange(len(h)) + size, len(h))
         start = np.flatnonzero((pairs[stop] - pairs[:-1] >= need_pairs) & (triples[stop] - triples[:-1] >= need_triples))
         text = np.searchsorted(first, start, "right") - 1
-        span = start[:, None] + np.arange(size)
-        joined = own[pair_slots[np.minimum(span[:, :-1], len(h) - 1)]] & (span[:, 1:] < first[text + 1][:, None])
-        enough = joined.sum(1) >= need_pairs
-        start, text, span = start[enough], text[enough], span[enough]
-        inside = np.sort(np.where(span < first[text + 1][:, None], h[np.minimum(span, len(h) - 1)], np.uint64(0)), axis=1)
-        enough = 1 + (inside[:, 1:] != inside[:, :-1]).sum(1) >= need_words
-        start, text = start[enough], text[enough]
+        likely = np.zeros(len(start), bool)
+        for a in range(0, len(start), max(1, CELLS // size)):  # so many windows that their words take bounded memory
+            part = slice(a, a + max(1, CELLS // size))
+            span, end = start[part, None] + np.arange(size), first[text[part] + 1][:, None]
+            joined = own[pair_slots[np.minimum(span[:, :-1], len(h) - 1)]] & (span[:, 1:] < end)
+            some = np.flatnonzero(joined.sum(1) >= need_pairs)
+            span, end = span[some], end[some]
+            inside = np.sort(np.where(span < end, h[np.minimum(span, len(h) - 1)], np.uint64(0)), axis=1)
+            likely[a + some[1 + (inside[:, 1:] != inside[:, :-1]).sum(1) >= need_words]] = True
+        start, text = start[likely], text[likely]
         # of windows with equal surroundings in the same text (repeated words, lines), one stands for all
         reach = 1 + max(int(RATE * len(block.words[i])) * 2 + len(block.words[i]) for i in samples[0][1])
         lo, hi = np.maximum(start - reach + size, first[text]), np.minimum(start + reach, first[text + 1])
@@ -273,8 +277,9 @@ def find(block: Block, h: np.ndarray, first: np.ndarray) -> dict[int, dict[int,
             _, one = np.unique(mine[:, 2] * (len(h) + 1) + mine[:, 1] // (k + 1), return_index=True)
             mine = mine[one]
             reach = np.arange(-2 * k - 1, len(item) + 2 * k + 1)
-            for a in range(0, len(mine), 4096):
-                part = mine[a:a + 4096]
+            step = max(1, min(4096, CELLS // len(reach)))
+            for a in range(0, len(mine), step):
+                part = mine[a:a + step]
                 where = part[:, 1][:, None] + reach
                 ok = (where >= first[part[:, 2]][:, None]) & (where < first[part[:, 2] + 1][:, None])
                 regions = np.where(ok, h[np.clip(where, 0, len(h) - 1)], np.uint64(0))

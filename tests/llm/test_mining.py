@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from issueloom.llm import catalog, hardneg, pieces, toxicity, whitening
+from issueloom.llm import catalog, decontam, hardneg, pieces, pii, toxicity, warc, whitening
 
 SF = "/root/testdata/sf0.001"
 VECTORS = "vec_id long, embedding array<float>, label int, score double, rank string"
@@ -217,3 +217,67 @@ def test_toxicity_windows_come_from_the_whole_text(spark):
     assert all(r["predicted"] == r["toxic"] for r in toxicity.score(df, model).collect())
     twice = df.select("doc_id", "toxic").unionByName(df.select("doc_id", "toxic"))
     assert toxicity.fit(df, twice, windows_of_text=4).scores == model.scores  # repeated labels change nothing
+
+
+def plain_warc(data):
+    """(headers, payload) of the records of an archive, by the format's rules."""
+    out = []
+    while data:
+        assert data.startswith(b"WARC/1.1\r\n")
+        head, _, rest = data.partition(b"\r\n\r\n")
+        fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in head.decode().split("\r\n")[1:])
+        size = int(fields["Content-Length"])
+        out.append((fields, rest[:size]))
+        assert rest[size:size + 4] == b"\r\n\r\n"
+        data = rest[size + 4:]
+    return out
+
+
+def test_archives_are_plain_warc(spark, tmp_path):
+    big = "payload ä\r\n\r\nWARC/1.1\r\n" * 30_000
+    rows = [(7, "http://a.test/1", "one"), (7, "http://a.test/2", "two"), (None, None, "three"), (8, "http://a.test/8", big), (9, "http://a.test/9", big), (9, "http://a.test/9", "x"), (4, None, None)]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w"), date="2031-05-06T07:08:09Z")
+    chunks = sorted(spark.read.parquet(str(tmp_path / "w")).collect(), key=lambda r: (r["record"], r["chunk"]))
+    data = b"".join(bytes(r["block"]) + (b"\r\n\r\n" if r["last"] else b"") for r in chunks)
+    records = plain_warc(data)
+    ids = [f["WARC-Record-ID"] for f, _ in records]
+    assert len(records) == len(rows) and len(set(ids)) == len(ids)
+    assert all(f["WARC-Date"] == "2031-05-06T07:08:09Z" and f["Content-Type"] and f["WARC-Type"] in ("response", "revisit") for f, _ in records)
+    for f, payload in records:
+        if f["WARC-Type"] == "response":
+            assert f["WARC-Payload-Digest"] == "sha1:" + hashlib.sha1(payload).hexdigest()
+        else:
+            assert (f["X-Page-ID"], f["X-Refers-To-Page"], f["WARC-Refers-To-Target-URI"], payload) == ("8", "9", "http://a.test/9", b"")
+    assert sorted(p.decode() for _, p in records) == sorted(["one", "two", "three", "", big, "x", ""])
+
+
+def test_very_many_matches_in_one_text(spark):
+    many = 100_000
+    text = " ".join(["1.2.3.4", "x@y.zz", "555-010-2233"] * (many // 3)) + " mail me at a (at) b.com"
+    df = spark.createDataFrame([(1, text), (2, "call 555-010-2233 now"), (3, None)], "doc_id long, text string")
+    got = {r["key"]: r for r in pii.find(df).collect()}
+    assert (got[1]["n_ip"], got[1]["n_email"], got[2]["n_ip"], got[3]["n_phone"]) == (many // 3, many // 3, 0, 0)
+    assert [tuple(x) for x in got[1]["base"][-1:]] == [(1, 28 * (many // 3 - 1) // 1, 28 * (many // 3 - 1) + 7)]
+    assert all(text[x["s"]:x["e"]] == "x@y.zz" for x in got[1]["base"][:50])
+
+
+def test_a_long_item_repeated_in_a_long_text_takes_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(12)
+    item = " ".join(f"w{int(x)}" for x in rng.integers(0, 5000, 1000))
+    text = (item + " ") * (100_000 // len(item))
+    block = decontam.make_block([7], [item], 0.99)
+    data, offsets = decontam.utf8(catalog_array([text]))
+    h, first = decontam.word_hashes(data, offsets)
+    tracemalloc.start()
+    got = decontam.find(block, h, first)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[0][0][0] == 0 and peak < 250e6
+
+
+def catalog_array(texts):
+    import pyarrow as pa
+
+    return pa.array(texts, pa.string())
