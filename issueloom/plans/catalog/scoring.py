@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ...operators import lifecycle as L
+from ...operators import cluster as C, lifecycle as L
 from ...operators.dedup import member_counts
 from ...settings import Settings
 from . import query, table
@@ -120,3 +120,38 @@ def repairs(spark: SparkSession, sf: str) -> DataFrame:
 @query("repair_summaries", f"WITH {SUMMARIES} SELECT issue_id, CASE WHEN model <> 'template' THEN why_now END AS why_now FROM summaries")
 def repair_summaries(spark: SparkSession, sf: str) -> DataFrame:
     return L.repair_summaries(summaries(spark, sf)).select("issue_id", "why_now")
+
+
+MEMBERS = f"""
+{ISSUES}, {ARTICLES},
+m AS (SELECT issue_id, count(*) FILTER (NOT is_dup) AS members FROM articles GROUP BY issue_id)
+"""
+OPEN = f"{ARTICLES}, o AS (SELECT * FROM articles WHERE issue_id IS NULL AND collected_at >= TIMESTAMP '{NOW}' - INTERVAL 2000 DAY AND lang = 'en')"
+WINDOW = Settings(active_window_h=24 * 1200, seed_pool_ttl_h=24 * 2000, max_members=12)
+
+
+@query("eligible_issues", f"""
+WITH {MEMBERS} SELECT id FROM issues LEFT JOIN m ON m.issue_id = id
+WHERE status IN ('candidate', 'active') AND last_update > TIMESTAMP '{NOW}' - INTERVAL 1200 DAY AND seen_sources <> 3 AND coalesce(members, 0) < 12""")
+def eligible_issues(spark: SparkSession, sf: str) -> DataFrame:
+    """Issues that take articles: live enough, with a centroid (those of three sources have none here) and with room."""
+    counts = member_counts(articles(spark, sf)).select(F.col("issue_id").alias("id"), "members")
+    rows = issues(spark, sf).withColumn("vec", F.when(F.col("seen_sources") != 3, F.array(F.lit(1.0).cast("float"))))
+    return C.eligible_issues(rows.join(counts, "id", "left").fillna(0, ["members"]), now(), WINDOW).select("id")
+
+
+def _open(spark, sf):
+    rows = articles(spark, sf).withColumn("vec", F.when(F.col("lang") == "en", F.array(F.lit(1.0).cast("float"))))
+    return C.open_articles(rows, now(), WINDOW)
+
+
+@query("open_articles", f"WITH {OPEN} SELECT aid FROM o")
+def open_articles(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles of no issue that still count: recent, with a vector (those in one language have none here)."""
+    return _open(spark, sf).select("aid")
+
+
+@query("seed_pool", f"WITH {OPEN} SELECT aid FROM o WHERE hold_count = 0 OR hold_count >= 2")
+def seed_pool(spark: SparkSession, sf: str) -> DataFrame:
+    """Open articles that may seed an issue: never held, or held until their tries were over."""
+    return C.seed_pool(_open(spark, sf), WINDOW).select("aid")
