@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def free(df: DataFrame, *names: str) -> list[str]:
@@ -21,6 +21,14 @@ def free(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Let at most `rows` rows travel to a Python worker at once from now on: whole texts and what is made of them then take
+    little of its memory. A session that asks for smaller batches keeps them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows or int(spark.conf.get(name)) <= 0:
+        spark.conf.set(name, rows)
+
+
 def whole(text: str) -> Column:
     """The text, empty where null."""
     return F.coalesce(F.col(text), F.lit(""))

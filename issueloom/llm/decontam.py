@@ -38,7 +38,7 @@ SAMPLED = 2  # positions in one sample
 AGREE = 0.66  # share of equal positions of the embeddings of a passage and its item for the best of the windows around it
 PRIME = 0x9E3779B97F4A7C15
 PIECE = 1 << 20
-CELLS = 1 << 22  # words of windows or regions that are laid out at once
+CELLS = 1 << 20  # words of windows or regions that are laid out at once
 CLASS_BITS = 18
 
 

@@ -227,7 +227,9 @@ def sketch(text: Column, words: int) -> Column:
 def _shingles(text: Column, words: int) -> Column:
     @F.arrow_udf("array<long>")
     def udf(texts: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(x.as_py(), words).view(np.int64) for x in texts.cast(pa.large_binary())], pa.list_(pa.int64()))
+        texts = texts.cast(pa.large_binary())
+        parts = [pa.array([shingle_set(x.as_py(), words).view(np.int64) for x in texts.slice(i, 256)], pa.list_(pa.int64())) for i in range(0, len(texts), 256)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
 
     return udf(text)
 
