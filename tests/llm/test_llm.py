@@ -284,6 +284,29 @@ def test_top_k(spark):
     assert mtree.search(df.limit(0), F.col("key") % 50 == 0).count() == 0
 
 
+def test_top_k_of_large_numbers_and_copies(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(120, 8))
+    copies = [[1.0, 0.0, 0.1, 0.0, 0.0, 0.0, 0.0, 0.7]] * 1300
+    last = 2**63 - 1
+    for size, more in ((1.0, copies), (1e5, []), (3e6, []), (1e10, []), (1e30, [])):
+        x = np.concatenate([base * size * np.where(np.arange(120) % 3 == 0, 1e-4, 1)[:, None], np.array(more).reshape(-1, 8)]).astype(np.float32)
+        rows = [(7 * i - 350, v.tolist()) for i, v in enumerate(x)] + [(last, x[0].tolist()), (9999, [])]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+        ints = [(i, [int(np.floor(256 * float(c))) for c in v]) for i, v in rows]
+        want = {}
+        for q, a in ints:
+            if q % 50 == 0:
+                best = sorted((-sum(m * n for m, n in zip(a, b)), i) for i, b in ints if i != q)[:5]
+                want |= {(q, n + 1): (i, -s if -(2**63) <= -s < 2**63 else None) for n, (s, i) in enumerate(best)}
+        got = mtree.search(df, F.col("key") % 50 == 0).collect()
+        assert len(got) == len(want) and {(r["query"], r["rank"]): (r["key"], r["score"]) for r in got} == want
+    short = spark.createDataFrame([(0, []), (1, []), (2, [])], "vec_id int, embedding array<float>")
+    assert sorted(map(tuple, mtree.search(short, F.col("key") % 50 == 0).collect())) == [(0, 1, 1, 0), (0, 2, 2, 0)]
+
+
 RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
