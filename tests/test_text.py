@@ -82,3 +82,22 @@ def test_simhash_separates_copies_from_others(spark):
     rows = spark.createDataFrame([("한국은행, 기준금리 인하", "한국은행 기준금리 인하.", "삼성전자 2분기 영업이익 돌파")], "a string, b string, c string")
     r = rows.select(hamming(simhash64("a"), simhash64("b")).alias("near"), hamming(simhash64("a"), simhash64("c")).alias("far")).first()
     assert r.near <= 3 < r.far
+
+
+def test_union_of_very_many_terms(spark):
+    """Names are computed once for a text, not once for each of its terms; nulls and repeated names as ever."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from issueloom.operators.glossary import union_terms
+
+    kind = "array<struct<term:string,easy:string,example:string>>"
+    give = lambda words: [(w, "", "") for w in words]
+    many = [f"W{i % 9000}" for i in range(18_000)]
+    rows = [(1, give(["B ", None, "a"]), give(["A", "b", " ", None, "c", "C ", "d"])), (2, give([" ", "x"]), give([])), (3, give(["w7"]), give(many)), (4, None, give(["x"]))]
+    df = spark.createDataFrame(rows, f"id int, s {kind}, g {kind}")
+    began = time.time()
+    got = {r.id: r.t for r in df.select("id", F.transform(union_terms(F.col("s"), F.col("g")), lambda g: g["term"]).alias("t")).collect()}
+    assert got == {1: ["B ", "a", "c", "d"], 2: [" ", "x"], 3: ["w7"] + [w for w in many[:9000] if w != "W7"], 4: None}
+    assert time.time() - began < 15
