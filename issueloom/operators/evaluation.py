@@ -14,12 +14,12 @@ def pair_similarities(pairs: DataFrame) -> DataFrame:
 
 
 def text_pairs(pairs: DataFrame, s: Settings, embed=None) -> DataFrame:
-    """Labelled text pairs (a, b, same) with the vectors of both sides."""
-    def side(name: str) -> DataFrame:
-        rows = pairs.select("pair", F.col(name).alias("title"), F.lit("").alias("lead"))
-        return text_vectors(rows, s, embed).select("pair", F.col("vec").alias(f"vec_{name}"))
-
-    return pairs.join(side("a"), "pair").join(side("b"), "pair")
+    """Labelled text pairs (a, b, same) with the vectors of both sides; a pair stays one row, so no text travels for it."""
+    for name in ("a", "b"):
+        other = [c for c in pairs.columns if c != name]
+        rows = pairs.select(*other, F.col(name).alias("title"), F.lit("").alias("lead"))
+        pairs = text_vectors(rows, s, embed).select(*other, F.col("title").alias(name), F.col("vec").alias(f"vec_{name}"))
+    return pairs
 
 
 def evaluate(pairs: DataFrame, s: Settings, embed=None, low: float = 0.72, high: float = 0.90, step: float = 0.02) -> DataFrame:
@@ -47,10 +47,9 @@ def sweep(pairs: DataFrame, low: float = 0.72, high: float = 0.90, step: float =
     counts = pairs.select(passed.alias("passed"), "same").groupBy("passed").agg(
         F.count_if("same").alias("pos"), F.count_if(~F.col("same")).alias("neg")
     )
-    grid = pairs.sparkSession.createDataFrame([(i + 1, float(t)) for i, t in enumerate(taus)], "passed int, tau double")
-    levels = grid.join(counts, "passed", "left").unionByName(
-        counts.filter(F.col("passed") == 0).withColumn("tau", F.lit(None).cast("double"))
-    ).fillna(0, ["pos", "neg"])
+    # pairs below all thresholds have a row of their own, so the counts are read once
+    grid = pairs.sparkSession.createDataFrame([(0, None)] + [(i + 1, float(t)) for i, t in enumerate(taus)], "passed int, tau double")
+    levels = grid.join(counts, "passed", "left").fillna(0, ["pos", "neg"])
     above = W.partitionBy(F.lit(0)).orderBy(F.col("passed").desc())
     everything = W.partitionBy(F.lit(0))
     rows = levels.select(
