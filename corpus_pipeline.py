@@ -23,7 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
+    """One document of each group of near copies: candidates by SimHash with Golay keys, then by bands for those further apart, each
+    verified over five-word shingles at a similarity of 0.8 or more."""
     small_batches(spark)
     return simhash.dedup(docs, words=5, similarity=0.8)
 

@@ -9,9 +9,11 @@ six), and every key joins one segment as it is with one codeword index of the ne
 `components_of` links fingerprints exactly: keys name the candidates; among these, two fingerprints differ by two bits
 at most if and only if they share a neighbour at one bit or less, so verified links go through that neighbour and a group
 of n close fingerprints takes O(n) rows instead of all pairs. `near_groups` links whole texts by similarity of word
-shingles, for which 64 bits say too little: bands of least shingle hashes name the candidates, which are compared with
-changing heads of their bucket until all are linked or settled, each pair verified by the Jaccard similarity of its whole
-shingle sets. A pair at the similarity of 0.8 shares no band with probability 3e-6, a closer one with less.
+shingles. Its first candidates are the texts whose fingerprints `components_of` links, each compared with the first text of
+its class. 64 bits say too little of pairs further apart: for these, bands of least shingle hashes name candidates, which are
+compared with changing heads of their bucket until all are linked or settled. A pair at the similarity of 0.8 shares no band
+with probability 3e-6, a closer one with less. Of all candidates, those that the sizes and 1024 parity bits of the sets rule
+out for certain go at once; the others are verified by the Jaccard similarity of their whole shingle sets.
 
 Null and empty texts have fingerprint zero and link like any other (`components_of`), or form one group of texts without
 words (`near_groups`). Repeated rows are copies. Null keys take no part in a smallest key; a group of null keys only has
@@ -155,14 +157,17 @@ def _shared(rows: DataFrame, node: str) -> DataFrame:
 
 def components_of(rows: DataFrame, fp: str = "fp") -> DataFrame:
     """(fp, root) for every fingerprint that another one links to; a link is two or fewer differing bits."""
+    own = Scratch(rows.sparkSession)
     keyed = rows.select(F.col(fp).alias("fp")).distinct()
     keyed = keyed.select("fp", F.explode(keys_of(F.array("fp"))).alias("key"))
-    near = cut(_shared(keyed, "fp").select("fp").distinct())
+    near = own.cut(_shared(keyed, "fp").select("fp").distinct())
     steps = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
     hubs = near.select("fp", F.explode(steps).alias("step")).select("fp", F.col("fp").bitwiseXOR(F.col("step")).alias("hub"))
     middle = hubs.groupBy("hub").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("hub", "lo")
     links = hubs.join(middle.hint("merge"), "hub").select(F.col("fp").alias("a"), F.col("lo").alias("b"))
-    return components(links).select(F.col("node").alias("fp"), "root")
+    found = components(links).select(F.col("node").alias("fp"), "root")
+    own.drop(near)
+    return found
 
 
 def classes(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 3) -> DataFrame:
@@ -192,6 +197,7 @@ def shingle_set(text: bytes, words: int) -> np.ndarray:
 
 
 BANDS, ROWS = 24, 4  # texts of similarity 0.8 share no band with probability (1 - 0.8**4)**24 = 3e-6
+PARITY = 16  # words of parity bits; they tell sets of up to some 1400 shingles apart, larger ones less and less
 
 
 def band_keys(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
@@ -206,20 +212,31 @@ def band_keys(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) ->
     return key
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Bits, each the parity of the shingles that fall to it. A shingle of one set only flips one bit, so two sets differ by
+    at least as many shingles as their words by bits."""
+    odd = np.bincount((shingles & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def sketch(text: Column, words: int) -> Column:
-    """struct(n, keys): the number of different shingles and the keys of the bands; texts without words have one key."""
+    """struct(n, fp, odd, keys): the number of different shingles, their SimHash and parity words, and the keys of the bands;
+    texts without words have one key."""
     rng = np.random.default_rng(17)
     factors = rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
     shifts = rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
 
-    @F.arrow_udf("struct<n: int, keys: array<long>>")
+    @F.arrow_udf("struct<n: int, fp: long, odd: array<long>, keys: array<long>>")
     def udf(texts: pa.Array) -> pa.Array:
-        sizes, keys = [], []
+        sizes, fps, odd, keys = [], [], [], []
         for x in texts.cast(pa.large_binary()):
             s = shingle_set(x.as_py(), words)
             sizes.append(len(s))
+            fps.append(majority(s[i:i + 65536] for i in range(0, len(s), 65536)))
+            odd.append(parity(s))
             keys.append(band_keys(s, factors, shifts).view(np.int64) if len(s) else np.zeros(1, np.int64))
-        return pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))], ["n", "keys"])
+        lists = [pa.array(x, pa.list_(pa.int64())) for x in (odd, keys)]
+        return pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), pa.array(np.array(fps, np.uint64).view(np.int64)), *lists], ["n", "fp", "odd", "keys"])
 
     return udf(text)
 
@@ -256,11 +273,20 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def _may_reach(similarity: float) -> Column:
+    """Whether texts (n, odd) and (hn, hodd) can be that similar: a set bounds the part in common, and the parity words bound
+    the part that isn't from below. No pair that is similar enough is ruled out."""
+    apart = sum((F.bit_count(F.col("odd")[i].bitwiseXOR(F.col("hodd")[i])) for i in range(PARITY)), F.lit(0))
+    most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("n") + F.col("hn"))
+    return (F.least("n", "hn") >= F.lit(similarity) * F.greatest("n", "hn") - 1e-9) & (apart <= most + 1e-6)
+
+
 def near_texts(df: DataFrame, own: Scratch, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(node, key, root) for each different text: node identifies it (128 bits), key is its smallest, root its group.
 
-    Texts that share a band key meet in its bucket. A round compares one head of each bucket, later more, with the members
-    that are not yet linked to it, each pair of texts once, by their whole shingle sets. Linked texts become one root, and
+    Texts whose fingerprints are linked meet the first text of their class. Then texts that share a band key meet in its
+    bucket: a round compares one head of each bucket, later more, with the members that are not yet linked to it, each pair
+    of texts once. What sizes and parity words leave open is compared by the whole shingle sets. Linked texts become one root, and
     the next round works on roots. Heads leave the bucket, as all their pairs are settled; the others stay, linked or not,
     until all members of a bucket have one root. So every pair of a bucket that is similar enough is linked, if not by itself
     then through others. A bucket's members are spread over tasks by salt, however many they are.
@@ -270,51 +296,71 @@ def near_texts(df: DataFrame, own: Scratch, text: str = "text", key: str = "doc_
     where = df.select(text_key(whole(text)).alias("node"), F.col(key).alias("key"), whole(text).alias("t"))
     rows = own.cut(where.select("key", "node", sketch(F.col("t"), words).alias("s")))
     texts = rows.groupBy("node").agg(F.min("key").alias("key"), F.any_value("s").alias("s"))
-    texts = own.cut(texts.select(F.monotonically_increasing_id().alias("id"), "node", "key", "s.n", "s.keys"))
+    texts = own.cut(texts.select(F.monotonically_increasing_id().alias("id"), "node", "key", "s.*"))
+    own.drop(rows)
+    alike = own.cut(_alike(texts, similarity, own))
     # a text has a key once, so a key of two rows is shared; only the narrowest rows travel to find this out
     keyed = texts.select("id", F.explode("keys").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket")
     met = own.cut(_spread(keyed, shared, "bucket"))
-    nodes = own.cut(met.select("id").distinct().join(texts.select("id", "node", "key", "n").hint("merge"), "id"))
+    ids = met.select("id").unionByName(alike.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
+    nodes = own.cut(ids.join(texts.select("id", "node", "key", "n", "odd").hint("merge"), "id"))
     roots = own.cut(nodes.select("id", F.col("id").alias("root")))
-    sizes = nodes.select("id", "n", F.col("id").alias("root"), F.lit(False).alias("linked"))
-    open_rows = own.cut(met.join(sizes.hint("merge"), "id"))
     # keys as structs, in which nulls are equal: the join's partitions serve the removal of repeated rows as well
     mine = nodes.select("id", F.col("node").alias("of"), F.struct("key").alias("whose"))
     sets = where.select("node", F.struct("key").alias("k"), "t").join(mine, (F.col("node") == F.col("of")) & (F.col("k") == F.col("whose")))
     sets = sets.dropDuplicates(["node", "k"]).select("id", _shingles(F.col("t"), words).alias("s"))
     sets = own.cut(sets)
-    own.drop(met, nodes)
-    r = 0
+    roots, moved = _linked(alike, sets, roots, similarity, own)
+    sizes = nodes.select("id", "n", "odd").join(roots.hint("merge"), "id")
+    open_rows = own.cut(met.join(sizes.hint("merge"), "id"))
+    left = own.cut(_unsettled(_marked(open_rows, moved)))
+    own.drop(met, nodes, alike, open_rows, moved)
+    open_rows, r = left, 0
     while not open_rows.isEmpty():
         slot = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(4 ** max(0, r - 1)))
         # linked ones first, then one order for all buckets, so that a pair meets in many buckets through the same head
-        rank = F.struct((~F.col("linked")).alias("far"), F.xxhash64("root", F.lit(-1)).alias("h"), "id", "n", "root")
+        rank = F.struct((~F.col("linked")).alias("far"), F.xxhash64("root", F.lit(-1)).alias("h"), "id", "n", "root", "odd")
         heads = open_rows.groupBy("bucket", slot.alias("slot")).agg(F.min(rank).alias("m"))
-        heads = own.cut(heads.select("bucket", F.col("m.id").alias("head"), F.col("m.n").alias("hn"), F.col("m.root").alias("hr")))
-        met = _spread(open_rows, heads, "bucket").where("root <> hr")
-        fits = F.least("n", "hn") >= F.lit(similarity) * F.greatest("n", "hn") - 1e-9
-        pairs = own.cut(met.where(fits).select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct())
-        close = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
-        close = close.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")).hint("merge"), "b")
-        good = own.cut(close.where(_jaccard_at_least(F.col("sa"), F.col("sb"), similarity)).select("a", "b"))
-        at = lambda c, name: roots.select(F.col("id").alias(c), F.col("root").alias(name)).hint("merge")
-        new = own.cut(good.join(at("a", "ra"), "a").join(at("b", "rb"), "b").select("ra", "rb").distinct())
-        moved = own.cut(components(new, "ra", "rb").select(F.col("node").alias("root"), F.col("root").alias("to")))
-        before = roots
-        roots = own.cut(_spread(roots, moved, "root", "left").select("id", F.coalesce("to", "root").alias("root")))
+        heads = own.cut(heads.select("bucket", F.col("m.id").alias("head"), F.col("m.n").alias("hn"), F.col("m.root").alias("hr"), F.col("m.odd").alias("hodd")))
+        near = _spread(open_rows, heads, "bucket").where("root <> hr").where(_may_reach(similarity))
+        pairs = own.cut(near.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct())
+        roots, moved = _linked(pairs, sets, roots, similarity, own)
         done = heads.select("bucket", F.col("head").alias("id"))
         rest = open_rows.drop("root", "linked").join(done.hint("merge"), ["bucket", "id"], "left_anti")
-        rest = rest.join(roots.hint("merge"), "id").withColumn("linked", F.lit(False))
-        rest = own.cut(rest)
+        rest = own.cut(rest.join(roots.hint("merge"), "id"))
         left = own.cut(_unsettled(_marked(rest, moved)))
-        own.drop(open_rows, heads, pairs, good, new, moved, before, rest)
+        own.drop(open_rows, heads, pairs, moved, rest)
         open_rows = left
         r += 1
-    own.drop(sets, open_rows, rows)
+    own.drop(sets, open_rows)
     return texts.select("id", "node", "key").join(roots.hint("merge"), "id", "left").select("node", "key", F.coalesce("root", "id").alias("root"))
 
 
+def _alike(texts: DataFrame, similarity: float, own: Scratch) -> DataFrame:
+    """Pairs (a, b) of ids: texts whose fingerprints are linked, each with the first of its class, one pair for each text."""
+    classed = _spread(texts.select("id", "fp", "n", "odd"), components_of(texts), "fp", "left").withColumn("class", F.coalesce("root", "fp"))
+    classed = own.cut(classed.select("id", "n", "odd", "class"))
+    first = classed.groupBy("class").agg(F.min("id").alias("head"), F.count("*").alias("_n")).where("_n > 1").select("class", "head")
+    first = first.join(classed.select(F.col("id").alias("head"), F.col("n").alias("hn"), F.col("odd").alias("hodd")).hint("merge"), "head")
+    return _spread(classed, first, "class").where("id <> head").where(_may_reach(similarity)).select(F.col("head").alias("a"), F.col("id").alias("b"))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, roots: DataFrame, similarity: float, own: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(roots, moved): roots after the pairs that are similar enough became links, and (root, to) of those that changed."""
+    close = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
+    close = close.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")).hint("merge"), "b")
+    good = own.cut(close.where(_jaccard_at_least(F.col("sa"), F.col("sb"), similarity)).select("a", "b"))
+    if good.isEmpty():
+        return roots, good.select(F.col("a").alias("root"), F.col("b").alias("to"))
+    at = lambda c, name: roots.select(F.col("id").alias(c), F.col("root").alias(name)).hint("merge")
+    new = own.cut(good.join(at("a", "ra"), "a").join(at("b", "rb"), "b").select("ra", "rb").distinct())
+    moved = own.cut(components(new, "ra", "rb").select(F.col("node").alias("root"), F.col("root").alias("to")))
+    after = own.cut(_spread(roots, moved, "root", "left").select("id", F.coalesce("to", "root").alias("root")))
+    own.drop(good, new, roots)
+    return after, moved
+
+
 def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """(node, key, root) for each row: node identifies the exact text (128 bits), root the group of near duplicates."""
     named = near_texts(df, Scratch(df.sparkSession), text, key, **options).select("node", "root")
