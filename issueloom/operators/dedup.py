@@ -117,6 +117,7 @@ def mark_near_duplicates(
     window_h: int = 48,
     blocks: int | None = None,
     hot_limit: int = 2_000,
+    asked: Column | None = None,
 ) -> DataFrame:
     """Add `is_dup`: some row before this one in `order_col` has a hash within k bits, and the two times are at
     most window_h apart or one of them is missing. `order_col` must be unique.
@@ -124,6 +125,9 @@ def mark_near_duplicates(
     `blocks` trades copies for candidates: with 4 blocks a hash is sent 4 times under 16-bit keys, with 5 blocks 10
     times under 25-bit keys, with 6 blocks 20 times under 32-bit keys. Left open, the largest slice decides.
 
+    `asked`, a condition on the order as column `o`, names the rows that need an answer; the others, which must come first in the
+    order, are only met by them and get true.
+
     1. Rows collapse to groups (hash, time slice of one window). Only the first row of a group can be free of a
        duplicate inside its own group, all later ones are marked without any pair.
     2. The first rows look for earlier groups in the own and the neighbouring slices through band keys.
@@ -142,6 +146,8 @@ def mark_near_duplicates(
     groups = rows.groupBy("h", "slice").agg(F.min(F.struct("o", "t")).alias("m"))
     # five branches below read the groups, so they are written once
     groups = cut(groups.select("h", "slice", F.col("m.o").alias("o"), F.col("m.t").alias("t")))
+    # a group that starts with a row that needs no answer marks its later rows without looking for anything
+    asking = groups if asked is None else groups.filter(asked)
     slices = groups.groupBy("slice").count()
     if blocks is None:
         largest = slices.agg(F.max("count")).first()[0] or 0  # one number
@@ -158,7 +164,7 @@ def mark_near_duplicates(
     ).otherwise(around)
     targets = groups.filter((F.col("slice") != NO_TIME) | timed).unionByName(anywhere)
     hot = hot_bands(groups, "h", k, blocks, hot_limit)
-    probes = band_rows(groups, "h", k, blocks, hot).withColumn("seek", F.explode(sought)).select(
+    probes = band_rows(asking, "h", k, blocks, hot).withColumn("seek", F.explode(sought)).select(
         *BAND_KEYS, "seek", F.col("h").alias("ph"), F.col("o").alias("po"), F.col("t").alias("pt"), F.col("slice").alias("ps")
     )
     # the rows below are exploded, which size estimates do not see: they are merged, never broadcast
@@ -169,7 +175,7 @@ def mark_near_duplicates(
     earlier = (F.col("to") < F.col("po")) & (hamming("ph", "th") <= k)
     near = F.col("pt").isNull() | F.col("tt").isNull() | (F.abs(F.col("pt") - F.col("tt")) <= seconds)
     settled = probes.join(held, [*keys, earlier & near], "left_semi").select(F.col("po").alias("o")).distinct()
-    free = groups.select("o").join(settled, "o", "left_anti")
+    free = asking.select("o").join(settled, "o", "left_anti")
     if time_col is not None:
         # inside one slice everything is near, so only the slices on both sides can be undecided
         beside = probes.filter((F.col("seek") == F.col("ps") - 1) | (F.col("seek") == F.col("ps") + 1))

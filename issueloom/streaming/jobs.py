@@ -109,7 +109,7 @@ def ingest_batches(path: str, s: Settings, time_col: str | None = "published_at"
         if time_col is not None:
             low = batch.agg(F.min(time_col) - F.expr(f"INTERVAL {s.dup_window_h} HOURS")).scalar()
             pool = pool.filter(F.col(time_col).isNull() | low.isNull() | (F.col(time_col) >= low) | (F.col("_new") == 1))
-        marked = mark_near_duplicates(pool, "simhash", "ord", time_col, s.simhash_k, s.dup_window_h)
+        marked = mark_near_duplicates(pool, "simhash", "ord", time_col, s.simhash_k, s.dup_window_h, asked=F.col("o.n") == 1)
         out = marked.filter("_new = 1").select("aid", "id", "simhash", "published_at", "is_dup")
         out.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
 

@@ -48,6 +48,16 @@ def test_marking_equals_brute_force(spark, seed, hot_limit, late_first):
     assert {r.o for r in got.filter("is_dup").collect()} == brute(rows, 3, 48)
 
 
+@pytest.mark.parametrize("late_first", [False, True])
+def test_rows_that_need_no_answer_are_only_met(spark, late_first):
+    rows = make(np.random.default_rng(6), 150, late_first)
+    df = spark.createDataFrame(rows, "o long, h long, t timestamp")
+    got = D.mark_near_duplicates(df, "h", "o", "t", 3, 48, hot_limit=3, asked=F.col("o") >= 90)
+    marked = {r.o: r.is_dup for r in got.collect()}
+    assert {o for o in marked if marked[o] and o >= 90} == {o for o in brute(rows, 3, 48) if o >= 90}
+    assert all(marked[o] for o in range(90))
+
+
 def test_neighbouring_slices_are_decided_row_by_row(spark):
     """One hash in many rows around the borders of the slices, in random order of arrival: every question is an open one."""
     rng = np.random.default_rng(8)
