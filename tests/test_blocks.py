@@ -76,3 +76,23 @@ def test_blocked_joins(spark, block):
     above = {(r.pid, r.tid) for r in S.matches_above(p, t, 0.2, True, block).collect()}
     assert above == {(i, j) for i in range(60) for j in range(60)
                      if i != j and sims[i, j] >= 0.2 and (sims[i, j] > 0.2 or j < rows[i][5])}
+
+
+def test_single_precision_decides_nothing():
+    """Pairs next to a bound, and equal best ones, are told as in double precision; a row that has its first target looks no further."""
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(3000, 16)).astype(np.float32)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    t = np.concatenate([v, v[:40] * np.float32(1 + 2e-7), v[:40]])
+    sims = np.round(v[:90].astype(float) @ t.astype(float).T, 9)
+    tau = float(np.sort(sims.ravel())[-2000])
+    sums, r, c, ids = S.Products(v[:90], t), np.arange(90), np.arange(len(t)), np.arange(len(t))
+    assert sums.fast[0].dtype == np.float32
+    assert (sums.above(sums.tile(r, c), r, c, tau) == (sims >= tau)).all()
+    i, j, value = S._best(sums, r, c, ids, ids, ids, tau, False)
+    assert (j == sims.argmax(1)[i]).all() and np.allclose(value, sims.max(1)[i], atol=2e-9)
+    seen, tile = [], sums.tile
+    sums.tile = lambda rows, cols: seen.append(len(rows)) or tile(rows, cols)
+    room, weight = np.full(90, 5), np.full(len(t), 5)
+    i, j, _ = S._first(sums, r, c, ids, ids, room, weight, -2.0, False)
+    assert (j == 0).all() and len(i) == 90 and seen == [90]
